@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .langid import op5_language_id
 from .licenses import op3_license_scan
 from .mixing import OP10_SQL, op10_mix_sources
+from .quality import op9_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
+    "op5_language_id": op5_language_id,
+    "op9_quality": op9_quality,
     "op10_mix_sources": op10_mix_sources,
 }
 ORACLE_SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL}
