@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op7_decontaminate
 from .langid import op5_language_id
 from .licenses import op3_license_scan
 from .mixing import OP10_SQL, op10_mix_sources
 from .quality import op9_quality
+from .simhash import op4_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
+    "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
+    "op7_decontaminate": op7_decontaminate,
     "op9_quality": op9_quality,
     "op10_mix_sources": op10_mix_sources,
 }
