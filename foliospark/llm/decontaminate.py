@@ -21,6 +21,7 @@ gives no rows. Extra columns of the input are ignored.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -262,18 +263,22 @@ def match(index: Index, texts: list[str | None]) -> list[tuple[int, int, int, in
     return [(d, index.ids[t], end, len(index.items[t]), edits, 1 - edits / len(index.items[t])) for (d, t), (edits, end) in sorted(best.items())]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """A row for each document and item that it holds: doc_id, item_id, end_word (words up to the stretch's end), n_words, edits, similarity."""
-    spark = docs.sparkSession
-    schema = "doc_id long, item_id long, end_word long, n_words int, edits int, similarity double"
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def indexes(benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, block_items: int = BLOCK_ITEMS) -> Iterator:
+    """Broadcast indexes of the items, a block at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     blocks = max(1, -(-items.count() // block_items))
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
-    out = None
     for b in range(blocks):
         rows = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()]
-        shared = spark.sparkContext.broadcast(build(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), similarity, recall))
+        yield benchmark.sparkSession.sparkContext.broadcast(build(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), similarity, recall))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """A row for each document and item that it holds: doc_id, item_id, end_word (words up to the stretch's end), n_words, edits, similarity."""
+    schema = "doc_id long, item_id long, end_word long, n_words int, edits int, similarity double"
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    out = None
+    for shared in indexes(benchmark, **options):
 
         def make(shared=shared):
             index = shared.value
@@ -290,5 +295,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     return out
 
 
+def _clean(shared):
+    """An Arrow UDF that is true for texts without any item of a broadcast index."""
+
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        out = np.ones(len(texts), bool)
+        out[[m[0] for m in match(shared.value, texts.to_pylist())]] = False
+        return pa.array(out)
+
+    return clean
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The documents that hold no item, with all their columns. Only texts go to Python."""
+    for shared in indexes(benchmark, **options):
+        docs = docs.where(_clean(shared)(F.col("text").cast("string")))
+    return docs
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))

@@ -196,34 +196,32 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return fit(np.concatenate(xs), np.array([len(x) for x in xs]), np.array([y for _, y in found]))
 
 
-def quality(docs: DataFrame, field: Field, keep: list[str], text: bool = False, threshold: float = THRESHOLD) -> DataFrame:
-    """The kept columns (and the text), quality_score, quality_predicted. A map over whole texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)
-    kept = docs.select(*keep, F.col("text").cast("string").alias("_text"), *([F.col("text")] if text else []))
-    place = len(keep)
-    fields = [f for i, f in enumerate(kept.schema.fields) if i != place]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "quality_score double, quality_predicted int"])
-
-    def make():
-        field = shared.value
-
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            raw = [r or b"" for r in raw_texts(batch.column(place))]
-            scores, some, held = [], [], 0
-            for r in [*raw, None]:  # about 4 MB at a time
-                if some and (r is None or held > 1 << 22):
-                    scores.append(field.score(*line_features(some)))
-                    some, held = [], 0
-                if r is not None:
-                    some.append(r)
-                    held += len(r)
-            s = np.clip(np.concatenate(scores), 0, 1)
-            columns = [c for i, c in enumerate(batch.columns) if i != place]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*(f.name for f in fields), "quality_score", "quality_predicted"])
-
-        return work
-
-    return over_arrow(kept, schema, make)
+def scorer(field: Field, spark: SparkSession):
+    """An Arrow UDF from texts to quality scores. Only texts go to Python, and only scores come back."""
+    shared = spark.sparkContext.broadcast(field)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        scores: list[np.ndarray] = []
+        some: list[bytes] = []
+        held = 0
+        for raw in raw_texts(texts):
+            some.append(raw or b"")
+            held += len(some[-1])
+            if held > 1 << 22:  # about 4 MB at a time
+                scores.append(shared.value.score(*line_features(some)))
+                some, held = [], 0
+        if some:
+            scores.append(shared.value.score(*line_features(some)))
+        return pa.array(np.clip(np.concatenate([*scores, np.zeros(0)]), 0, 1))
+
+    return score
+
+
+def quality(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
+    """docs with quality_score and quality_predicted. A map over whole texts."""
+    score = scorer(field, docs.sparkSession)(F.col("text").cast("string"))
+    return docs.withColumn("quality_score", score).withColumn("quality_predicted", (F.col("quality_score") >= threshold).cast("int"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -237,12 +235,10 @@ def trained(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Field:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     field = trained(spark, docs, load(spark, sf_dir, "labels"))
-    out = quality(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), field, ["doc_id", "held_out"])
-    return out.select("doc_id", "held_out", F.col("quality_score").alias("score"), F.col("quality_predicted").alias("predicted"))
+    out = quality(docs.select("doc_id", "text"), field)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_predicted").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, field: Field) -> DataFrame:
     """The documents that the field does not reject, with all their columns."""
-    columns = docs.columns
-    scored = quality(docs, field, [c for c in columns if c != "text"], text=True)
-    return scored.where(F.col("quality_predicted") == 1).select(*columns)
+    return quality(docs, field).where(F.col("quality_predicted") == 1).select(*docs.columns)

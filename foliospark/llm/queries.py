@@ -12,8 +12,10 @@ from .licenses import op3_license_scan
 from .mixing import OP10_SQL, op10_mix_sources
 from .quality import op9_quality
 from .simhash import op4_simhash
+from .tokens import op1_token_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_shards": op1_token_shards,
     "op3_license_scan": op3_license_scan,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
