@@ -29,7 +29,7 @@ from .components import components
 
 SHINGLE, MOST, SEED = 3, 2, 42
 #: Fingerprints of a node at most, or this share of all if that is more; levels are cut by 8 bits.
-LEAF, LEAF_SHARE, STEP = 32_768, 1 / 1024, 8
+LEAF, LEAF_SHARE, STEP = 131_072, 1 / 1024, 8
 _FRONTIER, _BRUTE = 1 << 18, 64
 _NO_ID = 1 << 62
 
