@@ -10,12 +10,14 @@ from .decontaminate import op7_decontaminate
 from .langid import op5_language_id
 from .licenses import op3_license_scan
 from .mixing import OP10_SQL, op10_mix_sources
+from .order_minhash import op2_order_minhash
 from .quality import op9_quality
 from .simhash import op4_simhash
 from .tokens import op1_token_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
+    "op2_order_minhash": op2_order_minhash,
     "op3_license_scan": op3_license_scan,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
