@@ -14,6 +14,8 @@ from .order_minhash import op2_order_minhash
 from .quality import op9_quality
 from .simhash import op4_simhash
 from .tokens import op1_token_shards
+from .urls import op6_url_filter
+from .warc import OP8_SQL, op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
@@ -21,8 +23,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
+    "op6_url_filter": op6_url_filter,
     "op7_decontaminate": op7_decontaminate,
+    "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_mix_sources": op10_mix_sources,
 }
-ORACLE_SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_warc": OP8_SQL, "op10_mix_sources": OP10_SQL}
