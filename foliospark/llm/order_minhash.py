@@ -24,6 +24,8 @@ from .common import id_block, id_bounds, load, materialise, shuffle_partitions
 KMER, COMPONENTS, TAKE = 5, 32, 2
 #: COMPONENTS is a power of two. Bits of a position among a text's k-mers (beyond 2 ** 26 words places repeat, which only weakens order); the rest of a long holds the hash.
 _PLACE = 26
+#: Stands for a null doc_id, before all others.
+_NO_ID = -(1 << 63)
 _SPACE = r"[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -90,10 +92,13 @@ def neighbours(ids: DataFrame) -> DataFrame:
 
 
 def edited_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, next_id, text, n_chars, edited): the last quarter of a text replaced by as much of the head of the next document."""
+    """(id, next_id, text, n_chars, edited): the last quarter of a text replaced by as much of the head of the next document.
+
+    Texts are dealt by id once; the heads come from the same exchange, which both uses read with the same columns.
+    """
     parts = shuffle_partitions(docs.sparkSession)
-    first = F.lit(-(1 << 63))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), first).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    first = F.lit(_NO_ID)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), first).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chain = materialise(neighbours(rows.select("id")), "chain")
     placed = rows.repartition(parts, "id").withColumn("n_chars", F.length("text").cast("long"))
     # how much of a document the one before it needs: the longest of equal ids
@@ -105,7 +110,7 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     out = out.join(chain.select(F.col("id").alias("chain_id"), "next_id"), F.col("id") == F.col("chain_id"))
     cut = F.floor(F.col("n_chars") / 4)
     edited = F.concat(F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 4) as int))"), F.substring("head", F.lit(1), cut.cast("int")))
-    return out.select("doc_id", "id", "next_id", "text", "n_chars", edited.alias("edited"))
+    return out.select("id", "next_id", "text", "n_chars", edited.alias("edited"))
 
 
 def order_minhash(docs: DataFrame) -> DataFrame:
@@ -116,7 +121,7 @@ def order_minhash(docs: DataFrame) -> DataFrame:
     table = materialise(prints, "fingerprints")
     after = table.groupBy("id").agg(F.min("fingerprint").alias("after")).withColumnRenamed("id", "after_id")
     out = table.join(after, F.col("next_id") == F.col("after_id"))
-    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness("fingerprint", "edited_fingerprint").alias("near_edited"), likeness("fingerprint", "after").alias("near_next"))
+    return out.select(F.when(F.col("id") != _NO_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness("fingerprint", "edited_fingerprint").alias("near_edited"), likeness("fingerprint", "after").alias("near_next"))
 
 
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
