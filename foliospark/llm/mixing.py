@@ -8,8 +8,8 @@ document at most.
 
 Prefix sums are taken in blocks (source, leading digits of the digest), so a hot source is dealt over many tasks.
 Defined cases: a null text has size 0; a null source is a source of its own, last in the order; a null doc_id sorts as the empty
-key; repeated rows are documents of their own; an empty table gives an empty mix. Extra columns are kept by `mix` and
-`training_order`. The table of sources, a row for each source, is the only thing the driver holds.
+key; repeated rows are documents of their own; an empty table gives an empty mix. Extra columns are kept,
+whatever their names. The table of sources, a row for each source, is the only thing the driver holds.
 """
 
 from __future__ import annotations
@@ -63,44 +63,50 @@ def position(share: Column, start: Column, end: Column) -> Column:
     return F.when(F.abs(slope) < 1e-9, share).otherwise((root - start) / F.when(F.abs(slope) < 1e-9, 1.0).otherwise(slope))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ramps=RAMPS, share: float = SHARE, most: int = MOST, keep: list[str] | None = None) -> DataFrame:
-    """A row for each document: the kept columns, then mix_size, mix_source_size, mix_target, mix_taken and mix_positions, a training position for each copy that is taken."""
+def _key_of(source: Column) -> Column:
+    """A source as a key without nulls, so that window and join are dealt alike."""
+    return F.when(source.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), source))
+
+
+def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ramps=RAMPS, share: float = SHARE, most: int = MOST, keep: list[str] | None = None) -> DataFrame:
+    """A row for each document: struct `doc` of the kept columns (all by default), size, source_size, target, taken and positions, a training position for each copy that is taken.
+
+    Documents are dealt once, by (source, block): the window's own dealing serves the join with the blocks' offsets.
+    """
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
-    sized = docs.select(*keep, *[c for c in ("source", "doc_id") if c not in keep], word_count(F.col("text")).alias("mix_size"))
-    totals = [(r[0], r[1], r[2]) for r in docs.select("source", word_count(F.col("text")).alias("n")).groupBy("source").agg(F.sum("n"), F.count("*")).collect()]
-    shares = targets([(s, n) for s, n, _ in totals], weights, ramps, share, most)
-    # about 4096 documents in a block
-    digits = max(1, math.ceil(math.log(max(2, sum(c for *_, c in totals) / 4096), 16)))
-    table = F.broadcast(spark.createDataFrame([(x.source, x.size, x.target, x.start, x.end) for x in shares], "mix_source string, mix_source_size long, mix_target double, mix_start double, mix_end double"))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sized = sized.withColumn("mix_key", key).withColumn("mix_block", F.substring("mix_key", 1, digits))
-    # the window's own rows give the sums of blocks: sums by (source, block), then a running sum over blocks
-    blocks = docs.select(F.col("source").alias("mix_source"), F.substring(key, 1, digits).alias("mix_block"), word_count(F.col("text")).alias("n")).groupBy("mix_source", "mix_block").agg(F.sum("n").alias("n"))
-    by_block = Window.partitionBy("mix_source").orderBy("mix_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("mix_source", F.col("mix_block").alias("mix_at"), F.coalesce(F.sum("n").over(by_block), F.lit(0)).alias("mix_before"))
-    within = Window.partitionBy("source", "mix_block").orderBy("mix_key", "mix_size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("mix_within", F.coalesce(F.sum("mix_size").over(within), F.lit(0)))
-    placed = placed.join(blocks, F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_block") == F.col("mix_at"))).drop("mix_source", "mix_at")
-    placed = placed.join(table, F.col("source").eqNullSafe(F.col("mix_source")))
-    middle = F.col("mix_before") + F.col("mix_within") + F.col("mix_size") / 2
-    copies = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: middle + i * F.col("mix_source_size")), lambda m: m < F.col("mix_target"))
-    placed = placed.withColumn("mix_copies", copies)
-    places = F.transform("mix_copies", lambda m: position(m / F.col("mix_target"), F.col("mix_start"), F.col("mix_end")))
-    return placed.select(*keep, "mix_size", "mix_source_size", "mix_target", (F.size("mix_copies") * F.col("mix_size")).cast("long").alias("mix_taken"), places.alias("mix_positions"))
+    sized = docs.select(F.struct(*keep).alias("doc"), _key_of(F.col("source").cast("string")).alias("part"), key.alias("key"), word_count(F.col("text").cast("string")).alias("size"))
+    totals = [(r[0], r[1], r[2], r[3]) for r in docs.select(F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("n")).groupBy("source").agg(_key_of(F.col("source")), F.sum("n"), F.count("*")).collect()]
+    keys = {s: k for s, k, *_ in totals}
+    shares = targets([(s, n) for s, _, n, _ in totals], weights, ramps, share, most)
+    # about 4096 documents in a block
+    digits = max(1, math.ceil(math.log(max(2, sum(t[3] for t in totals) / 4096), 16)))
+    table = F.broadcast(spark.createDataFrame([(keys[x.source], x.size, x.target, x.start, x.end) for x in shares], "of_part string, source_size long, target double, start double, end double"))
+    sized = sized.withColumn("block", F.substring("key", 1, digits))
+    blocks = sized.groupBy("part", "block").agg(F.sum("size").alias("n"))
+    by_block = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("part", "block", F.coalesce(F.sum("n").over(by_block), F.lit(0)).alias("before"))
+    within = Window.partitionBy("part", "block").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    placed = placed.join(blocks, ["part", "block"]).join(table, F.col("part") == F.col("of_part"))
+    middle = F.col("before") + F.col("within") + F.col("size") / 2
+    copies = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: middle + i * F.col("source_size")), lambda m: m < F.col("target"))
+    placed = placed.withColumn("copies", copies)
+    places = F.transform("copies", lambda m: position(m / F.col("target"), F.col("start"), F.col("end")))
+    return placed.select("doc", "size", "source_size", "target", (F.size("copies") * F.col("size")).cast("long").alias("taken"), places.alias("positions"))
 
 
 def training_order(docs: DataFrame, partitions: int | None = None, **options) -> DataFrame:
     """The mix itself: a row for each taken copy, with the documents' columns, range-sorted by training position."""
-    columns = docs.columns
-    copies = mix(docs, **options).select(*columns, F.explode("mix_positions").alias("mix_position"))
-    order = ["mix_position", *(c for c in ("doc_id",) if c in columns)]
+    copies = plan_mix(docs, **options).select("doc", F.explode("positions").alias("position"))
+    order = ["position", "doc.doc_id"]
     ranged = copies.repartitionByRange(partitions, *order) if partitions else copies.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order)
+    return ranged.sortWithinPartitions(*order).select("doc.*")
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(load(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
+    return plan_mix(load(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc.doc_id", "size", "source_size", "target", "taken")
 
 
 OP10_SQL = r"""

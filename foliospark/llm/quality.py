@@ -239,6 +239,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_predicted").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, field: Field) -> DataFrame:
+def keep_good(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the field does not reject, with all their columns."""
-    return quality(docs, field).where(F.col("quality_predicted") == 1).select(*docs.columns)
+    return docs.where(scorer(field, docs.sparkSession)(F.col("text").cast("string")) >= threshold)
