@@ -162,22 +162,32 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return files.repartition(max(1, shuffle_partitions(spark))).mapInArrow(run, schema)
 
 
+def _joined(pieces: list[dict], total: int | None, whole: bool) -> tuple[bytes | None, str | None]:
+    """(message, fault) of the segments of one record."""
+    ordered = sorted(pieces, key=lambda p: p["segment"])
+    if [p["segment"] for p in ordered] != list(range(1, len(ordered) + 1)):
+        return None, "segments are missing or repeated"
+    message = b"".join(p["block"] for p in ordered)
+    if not whole and total != len(message):
+        return None, "total length differs"
+    return message, None
+
+
 def reassembled(records: DataFrame) -> DataFrame:
-    """(name, digest, payload, fault) of every response. Only segments are shuffled, by the id of their origin."""
+    """(name, digest, payload, fault) of every response. Only segments are shuffled, by the id of their origin; a group is one payload."""
     responses = records.where(F.col("kind").isin("response", "continuation"))
-    pieces = responses.where(~F.col("whole")).groupBy("origin").agg(
-        F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("pieces"),
-        F.max("total").alias("total"),
-        F.max(F.when(F.col("segment") == 1, F.col("digest"))).alias("digest"),
+    piece = F.struct("segment", "block")
+    parts = responses.where(~F.col("whole")).groupBy(F.col("origin").alias("name")).agg(
+        F.max(F.when(F.col("segment") == 1, F.col("digest"))).alias("digest"), F.collect_list(piece).alias("pieces"), F.max("total").alias("total"), F.lit(False).alias("whole")
     )
-    joined = F.aggregate("pieces", F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p["block"]))
-    numbers = F.transform("pieces", lambda p: p["segment"])
-    pieces = pieces.withColumn("message", joined).withColumn("cause", F.when(numbers != F.sequence(F.lit(1), F.size("pieces")), "segments are missing or repeated").when(F.col("total").isNull() | (F.length("message") != F.col("total")), "total length differs"))
-    both = pieces.select(F.col("origin").alias("name"), "digest", "message", "cause").unionByName(responses.where("whole").select("name", "digest", F.col("block").alias("message"), F.lit(None).cast("string").alias("cause")))
+    both = parts.unionByName(responses.where("whole").select("name", "digest", F.array(piece).alias("pieces"), "total", "whole"))
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = [(None, cause) if cause else _decoded(message, digest) for digest, message, cause in zip(*(batch.column(c).to_pylist() for c in ("digest", "message", "cause")), strict=True)]
+            out = []
+            for digest, pieces, total, whole in zip(*(batch.column(c).to_pylist() for c in ("digest", "pieces", "total", "whole")), strict=True):
+                message, fault = _joined(pieces, total, whole)
+                out.append((None, fault) if fault else _decoded(message, digest))
             return pa.RecordBatch.from_arrays([batch.column("name"), batch.column("digest"), pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.string())], names=["name", "digest", "payload", "fault"])
 
         return work
