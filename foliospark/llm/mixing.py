@@ -14,18 +14,19 @@ whatever their names. The table of sources, a row for each source, is the only t
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, load
+from .common import WORD, load, materialise
 
 WEIGHTS = (5, 2, 1)
 #: Relative weight at the start and at the end of the run, by the same cycle as WEIGHTS.
 RAMPS = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
 SHARE, MOST = 1.5, 2
+#: A source is dealt over 16 ** DIGITS blocks; a table of at most MOST_BROADCAST sources is broadcast.
+DIGITS, MOST_BROADCAST = 3, 50_000
 
 
 @dataclass(frozen=True)
@@ -76,15 +77,16 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ramps=RAMPS, s
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sized = docs.select(F.struct(*keep).alias("doc"), _key_of(F.col("source").cast("string")).alias("part"), key.alias("key"), word_count(F.col("text").cast("string")).alias("size"))
-    totals = [(r[0], r[1], r[2], r[3]) for r in docs.select(F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("n")).groupBy("source").agg(_key_of(F.col("source")), F.sum("n"), F.count("*")).collect()]
-    keys = {s: k for s, k, *_ in totals}
-    shares = targets([(s, n) for s, _, n, _ in totals], weights, ramps, share, most)
-    # about 4096 documents in a block
-    digits = max(1, math.ceil(math.log(max(2, sum(t[3] for t in totals) / 4096), 16)))
-    table = F.broadcast(spark.createDataFrame([(keys[x.source], x.size, x.target, x.start, x.end) for x in shares], "of_part string, source_size long, target double, start double, end double"))
-    sized = sized.withColumn("block", F.substring("key", 1, digits))
-    blocks = sized.groupBy("part", "block").agg(F.sum("size").alias("n"))
+    columns = [_key_of(F.col("source").cast("string")).alias("part"), key.alias("key"), F.substring(key, 1, DIGITS).alias("block"), word_count(F.col("text").cast("string")).alias("size")]
+    # sums of blocks: sources * 16 ** DIGITS rows at most, and the only other reading of the texts
+    blocks = materialise(docs.select(*columns).groupBy("part", "block").agg(F.sum("size").alias("n")), "blocks")
+    totals = {k: n for k, n in blocks.groupBy("part").agg(F.sum("n")).collect()}
+    names = {k: k[1:] if k[0] == "1" else None for k in totals}
+    keys = {s: k for k, s in names.items()}
+    shares = targets([(names[k], n) for k, n in totals.items()], weights, ramps, share, most)
+    table = spark.createDataFrame([(keys[x.source], x.size, x.target, x.start, x.end) for x in shares], "of_part string, source_size long, target double, start double, end double")
+    table = F.broadcast(table) if len(shares) <= MOST_BROADCAST else table
+    sized = docs.select(F.struct(*keep).alias("doc"), *columns)
     by_block = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("part", "block", F.coalesce(F.sum("n").over(by_block), F.lit(0)).alias("before"))
     within = Window.partitionBy("part", "block").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
