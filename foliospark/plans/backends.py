@@ -116,3 +116,18 @@ class Registry:
 
     def make(self, route: str, s: Settings) -> Backend:
         return self.factories[route](s)
+
+
+def first_working(*functions: Callable[[bytes], str]) -> Callable[[bytes], str]:
+    """Recognition by the first of several engines that does not raise."""
+
+    def ocr(image: bytes) -> str:
+        causes = []
+        for f in functions:
+            try:
+                return f(image)
+            except Exception as e:
+                causes.append(str(e) or type(e).__name__)
+        raise RuntimeError("; ".join(causes) or "no recognition engine")
+
+    return ocr

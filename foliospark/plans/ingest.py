@@ -36,6 +36,22 @@ def pdf_info(files: DataFrame, s: Settings) -> DataFrame:
     return files.drop("content").join(info, F.col("doc_id") == F.col("info_id"), "left").drop("info_id")
 
 
+def pdf_pages(files: DataFrame) -> DataFrame:
+    """(doc_id, page_no, text) of readable PDFs, a row for each page."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc_id, content in zip(b["doc_id"], b["content"], strict=True):
+                try:
+                    rows += [(doc_id, i, t) for i, t in enumerate(pdf.page_texts(content))]
+                except (ValueError, TypeError, IndexError):
+                    continue  # unreadable files have no pages
+            yield pd.DataFrame(rows, columns=["doc_id", "page_no", "text"]).astype({"page_no": "int32"})
+
+    return files.where(F.col("ext") == PDF_EXTENSION).select("doc_id", "content").mapInPandas(look, "doc_id string, page_no int, text string")
+
+
 def parse(routed: DataFrame, route: str, slots: int, s: Settings, registry: Registry, force_ocr: bool = False) -> DataFrame:
     """Results of one branch, `slots` documents at a time."""
     long_pages = (s.long_head_pages, s.long_tail_pages)

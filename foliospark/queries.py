@@ -256,6 +256,16 @@ SELECT p_partkey, n || '.pdf' AS name, CASE WHEN k = 0 THEN n || '.pdf' ELSE n |
 FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY p_partkey) - 1 AS k FROM (SELECT p_partkey, string_split(p_name, ' ')[1] AS n FROM part))"""
 
 
+def exact_names(spark: SparkSession, sf: str) -> DataFrame:
+    p = _table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("folder"), F.concat(F.substring_index("p_name", " ", 1), F.lit(".pdf")).alias("name"))
+    return assemble.exact_names(p, "name", "p_partkey", "folder")
+
+
+_EXACT_SQL = """
+SELECT p_partkey, folder, n || '.pdf' AS name, CASE WHEN k = 0 THEN n || '.pdf' ELSE n || '_' || k || '.pdf' END AS unique_name
+FROM (SELECT *, row_number() OVER (PARTITION BY folder, n ORDER BY p_partkey) - 1 AS k FROM (SELECT p_partkey, p_brand AS folder, string_split(p_name, ' ')[1] AS n FROM part))"""
+
+
 def extensions(spark: SparkSession, sf: str) -> DataFrame:
     name = T.base_name(F.regexp_replace("url", "[?#].*$", ""))
     return _table(spark, sf, "pages").select("page_id", name.alias("name"), T.extension(name).alias("ext"), T.stem(name).alias("stem"))
@@ -477,6 +487,7 @@ ALL: dict[str, tuple[Query, str]] = {
     "q_tree_markdown": (tree_markdown, _TREE_SQL),
     "q_tree_roots": (tree_roots, _ROOTS_SQL),
     "q_unique_names": (unique_names, _NAMES_SQL),
+    "q_exact_names": (exact_names, _EXACT_SQL),
     "q_extensions": (extensions, _EXT_SQL),
     "q_upload_gate": (upload_gate, _UPLOAD_SQL),
     "q_result_merge": (result_merge, _MERGE_SQL),

@@ -74,3 +74,21 @@ def unique_uploads(uploads: DataFrame, late: str = "1 hour") -> DataFrame:
 def ingest(uploads: DataFrame, process, checkpoint: str):
     """Starts a run for each batch of accepted uploads; a batch that comes again overwrites its own output."""
     return uploads.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def new_jobs(uploads: DataFrame) -> DataFrame:
+    """Events (schemas.JOB_EVENT) that queue accepted uploads. Ids are random: write the result before using it twice."""
+    accepted = uploads.where(F.col("http_status") == 202)
+    return accepted.select(F.expr("uuid()").alias("job_id"), F.current_timestamp().alias("ts"), F.lit("queued").alias("status"), F.col("name").alias("filename"), F.lit(None).cast("string").alias("error"))
+
+
+def run_batches(s: Settings, path: str, registry=None):
+    """A `process` for ingest(): parses the accepted files of a batch into path/batch=N, which a repetition overwrites."""
+    from ..plans.ingest import run
+
+    def process(batch: DataFrame, number: int) -> None:
+        accepted = batch.where(F.col("http_status") == 202).drop("http_status")
+        run(accepted.persist(), s, registry).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        accepted.unpersist()
+
+    return process
