@@ -1,12 +1,17 @@
-"""SimHash near-duplicates by a self-join of binary tries.
+"""SimHash near-duplicates by self-joins of binary tries.
 
-Fingerprints: words split at ASCII white space, A-Z lower-cased, 3-word shingles with repeats (a shorter text is one shingle; a
-wordless one has fingerprint 0), XXH64 with seed 42; a bit is 1 if it is in more than half of the hashes.
+Fingerprints: words split at ASCII white space, A-Z lower-cased, word shingles with repeats (a shorter text is one shingle; a wordless
+one has fingerprint 0). A shingle's XXH64 with seed 42 gives 64 bits, further words of a longer fingerprint are mixed from it; a bit
+is 1 if it is in more than half of the hashes.
 
-Join: equal fingerprints count once. The trie of all fingerprints is cut into nodes of bounded size (heavy nodes are cut
-further, by counts of their own), and pairs of nodes whose prefixes differ in at most `most` bits become tasks. A task walks its two
-tries together, adds up differing bits, drops a pair of nodes as soon as the error budget is exceeded, and returns a spanning
-forest of the links found, so a dense group costs one row for each member. Alternating stars join the forests into components.
+Two settings. CONTRACT: 3-word shingles, 64 bits, links at 2 or fewer differing bits. NEAR: 5-word shingles and 768 bits, links where
+as few bits differ as a similarity (Jaccard) of 0.8 or more leaves, 1.5 deviations allowed; twelve tries take 32 of the bits each.
+
+Join: equal fingerprints count once. The trie of all fingerprints' segments is cut into nodes of bounded size (heavy nodes are cut
+further, by counts of their own), and pairs of nodes whose prefixes differ in at most `budget` bits become tasks. A task walks its two
+tries together, adds up differing bits, drops a pair of nodes as soon as the error budget is exceeded or all below it is linked
+already, and returns a spanning forest of the links found, so a dense group costs one row for each member and no task goes through
+all pairs of a group of copies. Alternating stars join the forests into components.
 
 Defined cases: null and empty texts share fingerprint 0 and are linked like any other; ties cannot occur, the smallest doc_id
 names a component; documents without doc_id get the component of their group, null if no member has an id; repeated rows each get a
@@ -15,6 +20,9 @@ row. Extra columns are ignored by `near_duplicates` and kept by `drop_near_dupli
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -27,44 +35,79 @@ from pyspark.sql import functions as F
 from .common import load, materialise, over_arrow, raw_texts
 from .components import components
 
-SHINGLE, MOST, SEED = 3, 2, 42
+SEED = 42
 #: Fingerprints of a node at most, or this share of all if that is more; levels are cut by 8 bits.
-LEAF, LEAF_SHARE, STEP = 131_072, 1 / 1024, 8
+LEAF_SHARE, STEP = 1 / 1024, 8
 _FRONTIER, _BRUTE = 1 << 18, 64
 _NO_ID = 1 << 62
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def differing_bits(similarity: float, bits: int) -> int:
+    """Bits that differ between texts of that Jaccard similarity and like length, with one and a half standard deviations, so that few at the bound are missed."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(bits * p + 1.5 * math.sqrt(bits * p * (1 - p)))
+
+
+@dataclass(frozen=True)
+class Setting:
+    """shingle: words; words: 64-bit words of a fingerprint; segment: bits that a trie takes; segments: tries; budget: its errors; most: differing bits of a link; leaf: size of a node."""
+
+    shingle: int
+    words: int
+    segment: int
+    segments: int
+    budget: int
+    most: int
+    leaf: int
+
+
+CONTRACT = Setting(shingle=3, words=1, segment=64, segments=1, budget=2, most=2, leaf=131_072)
+NEAR = Setting(shingle=5, words=12, segment=32, segments=12, budget=3, most=differing_bits(0.8, 768), leaf=524_288)
 
 
-def shingle_hashes(raw: bytes | None) -> np.ndarray:
+def shingle_hashes(raw: bytes | None, k: int) -> np.ndarray:
     words = (raw or b"").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(words) < SHINGLE:
+    if len(words) < k:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)), strict=False))
-    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(words) - SHINGLE + 1)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(k)), strict=False))
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(words) - k + 1)
+
+
+def _widened(h: np.ndarray, words: int) -> np.ndarray:
+    """(hashes, words): the hash itself, then independent mixes of it."""
+    out = np.empty((len(h), words), np.uint64)
+    out[:, 0] = h
+    for w in range(1, words):
+        x = (h + np.uint64(w)) * _MIX
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        out[:, w] = x ^ (x >> np.uint64(32))
+    return out
 
 
-def fingerprints(raw: list[bytes | None]) -> np.ndarray:
-    """One fingerprint for each text, as int64."""
-    out = np.zeros(len(raw), np.int64)
+def fingerprints(raw: list[bytes | None], s: Setting = CONTRACT) -> np.ndarray:
+    """(texts, words) of uint64."""
+    out = np.zeros((len(raw), s.words), np.uint64)
     some: list[np.ndarray] = []
     which: list[int] = []
-    held = 0
+    held, most = 0, (1 << 17) // s.words
     for i in range(len(raw) + 1):
-        if some and (i == len(raw) or held > 1 << 17):
+        if some and (i == len(raw) or held > most):
             sizes = np.array([len(h) for h in some])
-            ones = np.zeros((len(some), 64), np.int64)
+            begin = np.concatenate([[0], np.cumsum(sizes)])
+            ones = np.zeros((len(some), 64 * s.words), np.int64)
             stream = np.concatenate(some)
-            for lo in range(0, len(stream), 1 << 17):
-                part = stream[lo : lo + (1 << 17)]
-                bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-                begin = np.concatenate([[0], np.cumsum(sizes)])
+            for lo in range(0, len(stream), most):
+                part = _widened(stream[lo : lo + most], s.words)
+                bits = np.unpackbits(part.astype(">u8").view(np.uint8), axis=1)
                 first, last = np.searchsorted(begin, lo, "right") - 1, np.searchsorted(begin, lo + len(part), "left")
-                ones[first:last] += np.add.reduceat(bits, np.maximum(begin[first:last] - lo, 0), axis=0, dtype=np.int64)
-            out[which] = np.packbits(2 * ones > sizes[:, None], axis=1).view(">u8").ravel().astype(np.uint64).view(np.int64)
+                ones[first:last] += np.add.reduceat(bits, np.maximum(begin[first:last] - lo, 0), axis=0, dtype=np.int32)
+            out[which] = np.packbits(2 * ones > sizes[:, None], axis=1).view(">u8").astype(np.uint64)
             some, which, held = [], [], 0
         if i < len(raw):
-            h = shingle_hashes(raw[i])
+            h = shingle_hashes(raw[i], s.shingle)
             if len(h):
                 some.append(h)
                 which.append(i)
@@ -72,16 +115,17 @@ def fingerprints(raw: list[bytes | None]) -> np.ndarray:
     return out
 
 
-def fingerprint(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) over whole texts."""
+def fingerprint(docs: DataFrame, s: Setting = CONTRACT) -> DataFrame:
+    """(doc_id, fp) over whole texts; fp is the fingerprint's bytes."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fingerprints(raw_texts(batch.column("text"))))], names=["doc_id", "fp"])
+            prints = fingerprints(raw_texts(batch.column("text")), s).astype(">u8")
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([p.tobytes() for p in prints], pa.binary())], names=["doc_id", "fp"])
 
         return work
 
-    return over_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id long, fp long", make)
+    return over_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id long, fp binary", make)
 
 
 class Forest:
@@ -103,88 +147,145 @@ class Forest:
                 self.parent = up
 
 
-def trie_join(a: np.ndarray, b: np.ndarray | None, most: int, found) -> None:
-    """Calls found(i, j) with arrays of positions in the sorted uint64 arrays a and b (b None: a with itself, i < j) that differ in at most `most` bits.
+class TrieJoin:
+    """Links all positions of a and b (b None: of a alone) whose values differ in at most `budget` of their top `bits` and whose `distance`, a metric, is at most `most`.
 
-    A frontier of node pairs goes down bit by bit. A node is a range of its array; the ones below it split off by running sums.
+    a and b are sorted uint64 arrays; positions of b follow those of a. A node is a range; the ones below it split off by running
+    sums. A frontier of node pairs goes down bit by bit, and a pair is dropped if its errors exceed the budget or if all its
+    members are linked to each other already.
     """
-    same = b is None
-    b = a if same else b
-    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def ones(depth: int) -> tuple[np.ndarray, np.ndarray]:
-        if depth not in sums:
-            bit = np.uint64(63 - depth)
-            run = lambda x: np.concatenate([[0], np.cumsum((x >> bit & np.uint64(1)).astype(np.int64))])
-            left = run(a)
-            sums[depth] = (left, left if same else run(b))
-        return sums[depth]
-
-    def brute(la, ha, lb, hb) -> None:
+
+    def __init__(self, a: np.ndarray, b: np.ndarray | None, bits: int, budget: int, distance: Callable[[np.ndarray, np.ndarray], np.ndarray], most: int) -> None:
+        self.same = b is None
+        self.value = a if b is None else np.concatenate([a, b])
+        self.split, self.bits, self.budget, self.distance, self.most = len(a), bits, budget, distance, most
+        self.forest = Forest(len(self.value))
+        self.fresh = False
+        self.sums: dict[int, np.ndarray] = {}
+
+    def _ones(self, depth: int) -> np.ndarray:
+        if depth not in self.sums:
+            self.sums[depth] = np.concatenate([[0], np.cumsum((self.value >> np.uint64(63 - depth) & np.uint64(1)).astype(np.int64))])
+        return self.sums[depth]
+
+    def _link(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Confirms pairs that are not linked yet."""
+        apart = self.forest.parent[i] != self.forest.parent[j]
+        i, j = i[apart], j[apart]
+        for lo in range(0, len(i), 1 << 20):
+            ok = self.distance(i[lo : lo + (1 << 20)], j[lo : lo + (1 << 20)]) <= self.most
+            if ok.any():
+                self.forest.add(i[lo : lo + (1 << 20)][ok], j[lo : lo + (1 << 20)][ok])
+                self.fresh = False
+
+    def _open(self, la: np.ndarray, ha: np.ndarray, lb: np.ndarray, hb: np.ndarray) -> np.ndarray:
+        """Pairs of ranges that are not yet of one tree altogether."""
+        if not self.fresh:
+            root = self.forest.parent
+            self.turns = np.concatenate([[0], np.cumsum(root[1:] != root[:-1])])
+            self.fresh = True
+        root, turns = self.forest.parent, self.turns
+        return (root[la] != root[lb]) | (turns[la] != turns[ha - 1]) | (turns[lb] != turns[hb - 1])
+
+    def _pairs(self, la: np.ndarray, ha: np.ndarray, lb: np.ndarray, hb: np.ndarray) -> None:
+        """All pairs of each pair of ranges."""
         width = hb - lb
         size = (ha - la) * width
         start = np.cumsum(size) - size
-        k = np.arange(size.sum()) - np.repeat(start, size)
-        w = np.repeat(width, size)
+        k, w = np.arange(size.sum()) - np.repeat(start, size), np.repeat(width, size)
         i, j = np.repeat(la, size) + k // w, np.repeat(lb, size) + k % w
-        near = np.bitwise_count(a[i] ^ b[j]) <= most
-        if same:
-            near &= i < j
-        if near.any():
-            found(i[near], j[near])
-
-    stack = [(0, np.array([0]), np.array([len(a)]), np.array([0]), np.array([len(b)]), np.array([0]))]
-    while stack:
-        depth, la, ha, lb, hb, err = stack.pop()
-        small = (ha - la) * (hb - lb) <= _BRUTE
-        if depth == 64:
-            small[:] = True
-        if small.any():
+        ok = np.bitwise_count((self.value[i] ^ self.value[j]) >> np.uint64(64 - self.bits)) <= self.budget
+        if self.same:
+            ok &= i < j
+        self._link(i[ok], j[ok])
+
+    def _leaves(self, la: int, ha: int, lb: int, hb: int) -> None:
+        """Two large leaves: first their heads and neighbours, then what is still apart, tree by tree."""
+        i, j = np.arange(la, ha), np.arange(lb, hb)
+        self._link(i, np.full(len(i), lb))
+        self._link(np.full(len(j), la), j)
+        if la == lb:
+            self._link(i[:-1], i[1:])
+        members = i if la == lb else np.concatenate([i, j])
+        root = self.forest.parent[members]
+        trees, inverse, sizes = np.unique(root, return_inverse=True, return_counts=True)
+        for t in np.argsort(sizes, kind="stable")[:-1]:  # all but the largest tree, against all others
+            own, rest = members[inverse == t], members[inverse != t]
+            # by the triangle inequality the others that are far from one member are far from all
+            radius = self.distance(own, np.full(len(own), own[0])).max()
+            rest = rest[self.distance(rest, np.full(len(rest), own[0])) <= self.most + radius]
+            if not len(rest):
+                continue
+            for lo in range(0, len(own), max(1, (1 << 20) // len(rest))):
+                part = own[lo : lo + max(1, (1 << 20) // len(rest))]
+                self._link(np.repeat(part, len(rest)), np.tile(rest, len(part)))
+
+    def run(self) -> Forest:
+        n, m = len(self.value), self.split
+        one = lambda x: np.array([x])
+        stack = [(0, one(0), one(m), one(0 if self.same else m), one(n), one(0))] if m and (self.same or n > m) else []
+        while stack:
+            depth, la, ha, lb, hb, err = stack.pop()
+            if len(la) > _FRONTIER:
+                stack += [(depth, *(x[lo : lo + _FRONTIER] for x in (la, ha, lb, hb, err))) for lo in range(0, len(la), _FRONTIER)]
+                continue
+            left = self._open(la, ha, lb, hb)
+            la, ha, lb, hb, err = (x[left] for x in (la, ha, lb, hb, err))
+            small = (ha - la) * (hb - lb) <= _BRUTE
             for lo in range(0, int(small.sum()), _FRONTIER // 8):
-                brute(*(x[small][lo : lo + _FRONTIER // 8] for x in (la, ha, lb, hb)))
+                self._pairs(*(x[small][lo : lo + _FRONTIER // 8] for x in (la, ha, lb, hb)))
             la, ha, lb, hb, err = (x[~small] for x in (la, ha, lb, hb, err))
-        if not len(la):
-            continue
-        if len(la) > _FRONTIER:
-            for lo in range(0, len(la), _FRONTIER):
-                stack.append((depth, *(x[lo : lo + _FRONTIER] for x in (la, ha, lb, hb, err))))
-            continue
-        left, right = ones(depth)
-        ma, mb = ha - (left[ha] - left[la]), hb - (right[hb] - right[lb])
-        kids = [(la, ma, lb, mb, err), (ma, ha, mb, hb, err), (la, ma, mb, hb, err + 1), (ma, ha, lb, mb, err + 1)]
-        if same:  # of a node with itself, zeros against ones are enough
-            own = (la == lb) & (ha == hb)
-            kids[3] = tuple(x[~own] for x in kids[3])
-        la, ha, lb, hb, err = (np.concatenate(x) for x in zip(*kids, strict=True))
-        alive = (ha > la) & (hb > lb) & (err <= most)
-        stack.append((depth + 1, *(x[alive] for x in (la, ha, lb, hb, err))))
-
-
-def cut(table: DataFrame, total: int, leaf: int = LEAF, share: float = LEAF_SHARE) -> list[tuple[int, int]]:
-    """Nodes (prefix, depth), free of each other and covering all of column fp, each with at most `leaf` fingerprints (or that share of all).
+            if depth == self.bits:
+                for pair in zip(la.tolist(), ha.tolist(), lb.tolist(), hb.tolist(), strict=True):
+                    if self._open(*(np.array([x]) for x in pair))[0]:
+                        self._leaves(*pair)
+                continue
+            if not len(la):
+                continue
+            ones = self._ones(depth)
+            ma, mb = ha - (ones[ha] - ones[la]), hb - (ones[hb] - ones[lb])
+            kids = [(la, ma, lb, mb, err), (ma, ha, mb, hb, err), (la, ma, mb, hb, err + 1), (ma, ha, lb, mb, err + 1)]
+            if self.same:  # of a node with itself, zeros against ones are enough
+                own = la == lb
+                kids[3] = tuple(x[~own] for x in kids[3])
+            la, ha, lb, hb, err = (np.concatenate(x) for x in zip(*kids, strict=True))
+            alive = (ha > la) & (hb > lb) & (err <= self.budget)
+            la, ha, lb, hb, err = (x[alive] for x in (la, ha, lb, hb, err))
+            # the pairs with fewer errors last, so that they are linked first and close others
+            for e in range(self.budget, -1, -1):
+                if (at := err == e).any():
+                    stack.append((depth + 1, *(x[at] for x in (la, ha, lb, hb, err))))
+        return self.forest
+
+
+def cut(table: DataFrame, total: int, s: Setting, segment: int = 0, share: float = LEAF_SHARE) -> list[tuple[int, int]]:
+    """Nodes (prefix, depth), free of each other and covering a segment of column fp, each with at most s.leaf fingerprints (or that share of all), or of full depth.
 
     Each level counts only below heavy nodes, of which there are at most 1 / share, so the driver holds 2 ** STEP / share counts at most.
     """
-    limit = max(leaf, int(total * share))
+    limit = max(s.leaf, int(total * share))
     if total <= limit:
         return [(0, 0)]
+    top = lambda depth: F.substring("fp", F.lit(segment * s.segment // 8 + 1), F.lit(depth // 8))
     nodes: list[tuple[int, int]] = []
     heavy = [(0, 0)]
-    for depth in range(STEP, 65, STEP):
-        top = F.shiftrightunsigned("fp", 64 - depth) if depth < 64 else F.col("fp")
+    for depth in range(STEP, s.segment + 1, STEP):
         rows = table
         if depth > STEP:
-            marks = table.sparkSession.createDataFrame([(x - (1 << 64) if x >= 1 << 63 else x,) for x, _ in heavy], "mark long")
-            rows = table.join(F.broadcast(marks), F.shiftrightunsigned("fp", 64 - depth + STEP) == F.col("mark"), "left_semi")
-        counts = {int(r[0]) & ((1 << depth) - 1): int(r[1]) for r in rows.groupBy(top.alias("top")).count().collect()}
+            marks = table.sparkSession.createDataFrame([(bytearray(x.to_bytes((depth - STEP) // 8, "big")),) for x, _ in heavy], "mark binary")
+            rows = table.join(F.broadcast(marks), top(depth - STEP) == F.col("mark"), "left_semi")
+        counts = {int.from_bytes(r[0], "big"): int(r[1]) for r in rows.groupBy(top(depth).alias("top")).count().collect()}
+        by: dict[tuple[int, int], int] = {}
+        for x, n in counts.items():
+            for d in range(depth - STEP, depth + 1):
+                by[x >> (depth - d), d] = by.get((x >> (depth - d), d), 0) + n
         stack, below = list(heavy), []
         while stack:
             prefix, d = stack.pop()
-            shift = depth - d
-            n = sum(c for x, c in counts.items() if x >> shift == prefix) if shift else counts.get(prefix, 0)
+            n = by.get((prefix, d), 0)
             if n > limit and d < depth:
                 stack += [(prefix << 1, d + 1), (prefix << 1 | 1, d + 1)]
-            elif n > limit and depth < 64:
+            elif n > limit and depth < s.segment:
                 below.append((prefix, d))
             elif n:
                 nodes.append((prefix, d))
@@ -194,80 +295,92 @@ def cut(table: DataFrame, total: int, leaf: int = LEAF, share: float = LEAF_SHAR
     return sorted(nodes, key=lambda x: x[0] << (64 - x[1]))
 
 
-def node_pairs(nodes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
-    """Pairs of nodes, each with itself too, whose common depth differs in at most `most` bits."""
+def node_pairs(nodes: list[tuple[int, int]], budget: int) -> list[tuple[int, int]]:
+    """Pairs of nodes, each with itself too, whose common depth differs in at most `budget` bits."""
     start = np.array([p << (64 - d) for p, d in nodes], np.uint64)
     depth = np.array([d for _, d in nodes])
     out = []
     for i in range(len(nodes)):
         d = np.minimum(depth[i], depth[i:]).astype(np.uint64)
         far = np.where(d > 0, (start[i] ^ start[i:]) >> np.minimum(np.uint64(64) - d, np.uint64(63)), np.uint64(0))
-        far = np.where(d == 0, 0, far)
-        out += [(i, i + int(j)) for j in np.flatnonzero(np.bitwise_count(far) <= most)]
+        out += [(i, i + int(j)) for j in np.flatnonzero(np.bitwise_count(far) <= budget)]
     return out
 
 
-def links(table: DataFrame, most: int = MOST, leaf: int = LEAF) -> DataFrame:
-    """Spanning links (u, v) of column node among distinct fingerprints (fp, node) at most `most` bits apart."""
+def _words(fp: pd.Series, words: int) -> np.ndarray:
+    return np.frombuffer(b"".join(fp), ">u8").astype(np.uint64).reshape(-1, words)
+
+
+def _segment(words: np.ndarray, segment: int, bits: int) -> np.ndarray:
+    """A segment's value in the top bits of a word."""
+    per = 64 // bits
+    return words[:, segment // per] << np.uint64(bits * (segment % per)) & np.uint64(((1 << bits) - 1) << (64 - bits))
+
+
+def links(table: DataFrame, s: Setting = CONTRACT) -> DataFrame:
+    """Spanning links (u, v) of column node among distinct fingerprints (fp, node)."""
     spark = table.sparkSession
-    nodes = cut(table, table.count(), leaf)
-    pairs = node_pairs(nodes, most)
-    shared = spark.sparkContext.broadcast((np.array([p << (64 - d) for p, d in nodes], np.uint64), pairs))
+    total = table.count()
+    nodes = [cut(table, total, s, k) for k in range(s.segments)]
+    tasks = [(k, i, j) for k in range(s.segments) for i, j in node_pairs(nodes[k], s.budget)]
+    shared = spark.sparkContext.broadcast((nodes, tasks))
 
     def deal(batches):
-        starts, pairs = shared.value
-        tasks = [[] for _ in starts]
-        for t, (i, j) in enumerate(pairs):
-            tasks[i].append((t, 0))
-            if j != i:
-                tasks[j].append((t, 1))
-        per = np.array([len(x) for x in tasks])
-        first = np.cumsum(per) - per
-        flat = np.array([y for x in tasks for y in x], np.int64).reshape(-1, 2)
+        nodes, tasks = shared.value
+        plans = []
+        for k, own in enumerate(nodes):
+            of = [[] for _ in own]
+            for t, (segment, i, j) in enumerate(tasks):
+                if segment == k:
+                    of[i].append((t, 0))
+                    if j != i:
+                        of[j].append((t, 1))
+            per = np.array([len(x) for x in of])
+            plans.append((np.array([p << (64 - d) for p, d in own], np.uint64), per, np.cumsum(per) - per, np.array([y for x in of for y in x], np.int64).reshape(-1, 2)))
         for pdf in batches:
-            fp = pdf["fp"].to_numpy().view(np.uint64) if len(pdf) else np.zeros(0, np.uint64)
-            at = np.searchsorted(starts, fp, "right") - 1
-            n = per[at]
-            rows = np.repeat(first[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            yield pd.DataFrame({"task": flat[rows, 0], "side": flat[rows, 1], "fp": np.repeat(pdf["fp"].to_numpy(), n), "node": np.repeat(pdf["node"].to_numpy(), n)})
+            words = _words(pdf["fp"], s.words)
+            for k, (starts, per, first, flat) in enumerate(plans):
+                at = np.searchsorted(starts, _segment(words, k, s.segment), "right") - 1
+                n = per[at]
+                rows = np.repeat(first[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                source = np.repeat(np.arange(len(pdf)), n)
+                yield pd.DataFrame({"task": flat[rows, 0], "side": flat[rows, 1], "fp": pdf["fp"].to_numpy()[source], "node": pdf["node"].to_numpy()[source]})
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = pdf["side"].to_numpy()
-        fp, node = pdf["fp"].to_numpy().view(np.uint64), pdf["node"].to_numpy()
+        segment, i, j = shared.value[1][int(pdf["task"].iloc[0])]
+        side, words = pdf["side"].to_numpy(), _words(pdf["fp"], s.words)
+        value = _segment(words, segment, s.segment)
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        a, b = a[np.argsort(fp[a])], b[np.argsort(fp[b])]
-        order = np.concatenate([a, b])
-        forest = Forest(len(order))
-        if pairs_itself[int(pdf["task"].iloc[0])]:
-            trie_join(fp[a], None, most, forest.add)
-        elif len(a) and len(b):
-            trie_join(fp[a], fp[b], most, lambda i, j: forest.add(i, j + len(a)))
-        child = np.flatnonzero(forest.parent != np.arange(len(order)))
-        return pd.DataFrame({"u": node[order[child]], "v": node[order[forest.parent[child]]]})
-
-    pairs_itself = [i == j for i, j in pairs]
-    dealt = table.select("fp", "node").mapInPandas(deal, "task long, side long, fp long, node long")
+        a, b = a[np.argsort(value[a], kind="stable")], b[np.argsort(value[b], kind="stable")]
+        order = a if i == j else np.concatenate([a, b])
+        ordered, node = words[order], pdf["node"].to_numpy()[order]
+        distance = lambda x, y: np.bitwise_count(ordered[x] ^ ordered[y]).sum(1, dtype=np.int64)
+        parent = TrieJoin(value[a], None if i == j else value[b], s.segment, s.budget, distance, s.most).run().parent
+        child = np.flatnonzero(parent != np.arange(len(order)))
+        return pd.DataFrame({"u": node[child], "v": node[parent[child]]})
+
+    dealt = table.select("fp", "node").mapInPandas(deal, "task long, side long, fp binary, node long")
     return dealt.groupBy("task").applyInPandas(walk, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, most: int = MOST, leaf: int = LEAF) -> DataFrame:
+def near_duplicates(docs: DataFrame, s: Setting = CONTRACT) -> DataFrame:
     """(doc_id, fp, component_id) of every document."""
-    prints = materialise(fingerprint(docs), "fingerprints")
-    least = F.coalesce(F.min("doc_id"), F.lit(_NO_ID) + F.shiftrightunsigned("fp", 2))
+    prints = materialise(fingerprint(docs, s), "fingerprints")
+    least = F.coalesce(F.min("doc_id"), F.lit(_NO_ID) + F.shiftrightunsigned(F.xxhash64("fp"), 2))
     table = materialise(prints.groupBy("fp").agg(least.alias("node")), "distinct")
-    stars = components(links(table, most, leaf))
+    stars = components(links(table, s))
     of = table.join(stars, table.node == stars.u, "left").select(F.col("fp").alias("of_fp"), F.coalesce("v", "node").alias("c"))
     out = prints.join(of, F.col("fp") == F.col("of_fp"))
     return out.select("doc_id", "fp", F.when(F.col("c") < _NO_ID, F.col("c")).alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, most: int = MOST) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, s: Setting = NEAR) -> DataFrame:
     """The document with the smallest doc_id of each component, with all columns; documents without doc_id stay."""
-    found = near_duplicates(docs, most).where("doc_id != component_id").select(F.col("doc_id").alias("copy_id")).distinct()
+    found = near_duplicates(docs, s).where("doc_id != component_id").select(F.col("doc_id").alias("copy_id")).distinct()
     left = docs.join(found, docs.doc_id == found.copy_id, "left_anti")
     return left.dropDuplicates()
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(load(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")

@@ -76,7 +76,7 @@ def test_tags(spark):
 def test_simhash(spark, docs, none):
     out = simhash.near_duplicates(docs).collect()
     by = {r.doc_id: r for r in out}
-    assert len(out) == len(ROWS) and by[1].fp == by[2].fp == by[3].fp == 0 and by[3].component_id == 1 and by[5].component_id == 4
+    assert len(out) == len(ROWS) and by[1].fp == by[2].fp == by[3].fp == bytes(8) and by[3].component_id == 1 and by[5].component_id == 4
     assert by[None].component_id is None
     left = simhash.drop_near_duplicates(docs)
     assert left.columns == docs.columns and sorted(r.doc_id or 0 for r in left.select("doc_id").collect()) == [0, 1, 4, 6, 7, 8, 9]

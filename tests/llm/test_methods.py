@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import itertools
 
 import numpy as np
@@ -37,35 +38,90 @@ def test_shards_round_trip(spark, tmp_path):
     assert [s for s, *_ in itertools.islice(tokens.read_slots(spark, str(tmp_path / "shards"), 30, 16, 2, 25), 3)] == [30, 31, 32]
 
 
+def told_forest(fp: np.ndarray, near) -> np.ndarray:
+    told = simhash.Forest(len(fp))
+    for i in range(len(fp)):
+        j = np.flatnonzero(near(fp[i], fp))
+        told.add(np.full(len(j), i), j)
+    return told.parent
+
+
 @pytest.mark.parametrize("spread", [64, 14, 6])
 def test_trie_join(spread):
     rng = np.random.default_rng(spread)
     base = rng.integers(0, 1 << 63, 40, np.uint64)
-    a = np.unique(np.concatenate([base, *(base ^ (np.uint64(1) << rng.integers(0, spread, 40).astype(np.uint64)) for _ in range(6)), rng.integers(0, 1 << spread if spread < 63 else 1 << 63, 500, np.uint64)]))
-    b = np.unique(np.concatenate([a[::3] ^ np.uint64(1), rng.integers(0, 1 << 63, 300, np.uint64)]))
+    a = np.sort(np.concatenate([base, base, *(base ^ (np.uint64(1) << rng.integers(0, spread, 40).astype(np.uint64)) for _ in range(6)), rng.integers(0, 1 << spread if spread < 63 else 1 << 63, 500, np.uint64)]))
+    b = np.sort(np.concatenate([a[::3] ^ np.uint64(1), rng.integers(0, 1 << 63, 300, np.uint64)]))
     for right in (None, b):
-        found: set = set()
-        simhash.trie_join(a, right, 2, lambda i, j, found=found: found.update(zip(i.tolist(), j.tolist(), strict=True)))
-        other = a if right is None else right
-        told = {(i, j) for i in range(len(a)) for j in np.flatnonzero(np.bitwise_count(a[i] ^ other) <= 2).tolist() if right is not None or i < j}
-        assert found == told
+        both = a if right is None else np.concatenate([a, right])
+        found = simhash.TrieJoin(a, right, 64, 2, lambda i, j: np.zeros(len(i), int), 0).run().parent
+        told = simhash.Forest(len(both))
+        for i in range(len(a)):
+            j = np.flatnonzero(np.bitwise_count(a[i] ^ (a if right is None else right)) <= 2) + (0 if right is None else len(a))
+            told.add(np.full(len(j), i), j)
+        assert np.array_equal(found, told.parent)
+
+
+@pytest.mark.parametrize("copies", [30, 3000])
+def test_trie_join_of_a_dense_group(copies):
+    """Two groups whose values agree but whose fingerprints do not, and strangers; leaves with many members."""
+    rng = np.random.default_rng(copies)
+    group = np.repeat(np.array([0, 1, 2]), [copies, copies // 3, 40])
+    value = np.sort(rng.integers(0, 4, len(group)).astype(np.uint64)) << np.uint64(32)
+    rng.shuffle(group)
+    group[group == 2] = np.arange(2, 2 + (group == 2).sum())
+    calls = []
+
+    def distance(i, j):
+        calls.append(len(i))
+        return np.where(group[i] == group[j], 0, 100)
+
+    found = simhash.TrieJoin(value, None, 32, 3, distance, 65).run().parent
+    assert np.array_equal(found, np.array([np.flatnonzero(group == g)[0] for g in group]))
+    # ten pairs of leaves, forty strangers in all
+    assert copies < 1000 or sum(calls) < 10 * 40 * len(group)
 
 
 def test_nodes_cover_all(spark):
     rng = np.random.default_rng(3)
     fp = np.unique(np.concatenate([rng.integers(0, 1 << 63, 300, np.uint64), np.arange(400, dtype=np.uint64), np.uint64(1 << 63) + np.arange(300, dtype=np.uint64)]))
-    table = spark.createDataFrame([(int(x) - (1 << 64) if x >= 1 << 63 else int(x), i) for i, x in enumerate(fp.tolist())], "fp long, node long")
-    nodes = simhash.cut(table, len(fp), leaf=50)
+    table = spark.createDataFrame([(bytearray(int(x).to_bytes(8, "big")), i) for i, x in enumerate(fp.tolist())], "fp binary, node long")
+    small = dataclasses.replace(simhash.CONTRACT, leaf=50)
+    nodes = simhash.cut(table, len(fp), small)
     held = [sum(x >> (64 - d) == p if d else True for x in fp.tolist()) for p, d in nodes]
     assert sum(held) == len(fp) and max(held) <= 50
     forest = simhash.Forest(len(fp))
-    for u, v in simhash.links(table, leaf=50).collect():
+    for u, v in simhash.links(table, small).collect():
         forest.add(np.array([u]), np.array([v]))
-    told = simhash.Forest(len(fp))
-    for i in range(len(fp)):
-        j = np.flatnonzero(np.bitwise_count(fp[i] ^ fp) <= 2)
-        told.add(np.full(len(j), i), j)
-    assert np.array_equal(forest.parent, told.parent)
+    assert np.array_equal(forest.parent, told_forest(fp, lambda x, y: np.bitwise_count(x ^ y) <= 2))
+
+
+def test_long_fingerprints(spark):
+    """Near copies at 0.8 and more are linked, half-alike and foreign texts are not; the same with few and with many nodes."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(5000)]
+    texts, family, alike = [], [], []
+
+    def shingles(t):
+        return {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+
+    for f in range(120):
+        own = rng.choice(words, int(rng.integers(60, 400))).tolist()
+        texts.append(own)
+        family.append(f)
+        alike.append(1.0)
+        for share in (0.005, 0.02, 0.3):
+            other = [w if rng.random() > share else "changed" + str(rng.integers(99)) for w in own]
+            texts.append(other)
+            family.append(f)
+            alike.append(len(shingles(own) & shingles(other)) / len(shingles(own) | shingles(other)))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for s in (simhash.NEAR, dataclasses.replace(simhash.NEAR, leaf=60)):
+        found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, s).collect()}
+        assert all(family[c] == family[d] for d, c in found.items())
+        due = [d for d in found if alike[d] >= 0.8]
+        assert np.mean([found[d] == 4 * family[d] for d in due]) > 0.95
+        assert np.mean([found[d] == 4 * family[d] for d in found if alike[d] < 0.5]) < 0.05
 
 
 def test_components(spark):
