@@ -51,10 +51,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it again: cuts the lineage, survives lost executors, computes once."""
+def materialise(df: DataFrame, name: str, small: bool = False) -> DataFrame:
+    """Writes df to the shared folder and reads it again: cuts the lineage, survives lost executors, computes once.
+
+    small: rows of ids and counts behind a shuffle, far narrower than what the shuffle partitions are sized for; they go into an
+    eighth as many files.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if small:
+        df = df.coalesce(max(1, shuffle_partitions(spark) // 8))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

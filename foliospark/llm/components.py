@@ -33,10 +33,10 @@ def components(links: DataFrame) -> DataFrame:
     Hot nodes meet only partial minima and skew-splittable joins.
     """
     edges = links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = materialise(edges, "links")
+    edges = materialise(edges, "links", small=True)
     state = _state(edges)
     while state[0]:
-        edges = materialise(_small_star(_large_star(edges)), "stars")
+        edges = materialise(_small_star(_large_star(edges)), "stars", small=True)
         state, before = _state(edges), state
         if state == before:
             break

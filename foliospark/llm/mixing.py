@@ -79,7 +79,7 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ramps=RAMPS, s
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     columns = [_key_of(F.col("source").cast("string")).alias("part"), key.alias("key"), F.substring(key, 1, DIGITS).alias("block"), word_count(F.col("text").cast("string")).alias("size")]
     # sums of blocks: sources * 16 ** DIGITS rows at most, and the only other reading of the texts
-    blocks = materialise(docs.select(*columns).groupBy("part", "block").agg(F.sum("size").alias("n")), "blocks")
+    blocks = materialise(docs.select(*columns).groupBy("part", "block").agg(F.sum("size").alias("n")), "blocks", small=True)
     totals = {k: n for k, n in blocks.groupBy("part").agg(F.sum("n")).collect()}
     names = {k: k[1:] if k[0] == "1" else None for k in totals}
     keys = {s: k for k, s in names.items()}

@@ -82,7 +82,6 @@ def neighbours(ids: DataFrame) -> DataFrame:
     spark = ids.sparkSession
     bounds = id_bounds(ids, "id", max(2, min(1024, 4 * shuffle_partitions(spark))))
     blocked = ids.distinct().withColumn("block", id_block(F.col("id"), bounds))
-    blocked = materialise(blocked, "ids")
     heads = {r[0]: r[1] for r in blocked.groupBy("block").agg(F.min("id")).collect()}
     order = sorted(heads)
     after = {b: heads[order[(i + 1) % len(order)]] for i, b in enumerate(order)}
@@ -99,7 +98,7 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     parts = shuffle_partitions(docs.sparkSession)
     first = F.lit(_NO_ID)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), first).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    chain = materialise(neighbours(rows.select("id")), "chain")
+    chain = neighbours(rows.select("id"))
     placed = rows.repartition(parts, "id").withColumn("n_chars", F.length("text").cast("long"))
     # how much of a document the one before it needs: the longest of equal ids
     need = docs.select(F.coalesce(F.col("doc_id").cast("long"), first).alias("before_id"), F.coalesce(F.length("text"), F.lit(0)).alias("n")).groupBy("before_id").agg((F.max("n") / 4).cast("int").alias("need"))

@@ -367,7 +367,7 @@ def near_duplicates(docs: DataFrame, s: Setting = CONTRACT) -> DataFrame:
     """(doc_id, fp, component_id) of every document."""
     prints = materialise(fingerprint(docs, s), "fingerprints")
     least = F.coalesce(F.min("doc_id"), F.lit(_NO_ID) + F.shiftrightunsigned(F.xxhash64("fp"), 2))
-    table = materialise(prints.groupBy("fp").agg(least.alias("node")), "distinct")
+    table = materialise(prints.groupBy("fp").agg(least.alias("node")), "distinct", small=True)
     stars = components(links(table, s))
     of = table.join(stars, table.node == stars.u, "left").select(F.col("fp").alias("of_fp"), F.coalesce("v", "node").alias("c"))
     out = prints.join(of, F.col("fp") == F.col("of_fp"))

@@ -105,7 +105,7 @@ def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDEN
         return Rules([], {})
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     sets = model.freqItemsets.withColumn("verdict", F.get(F.filter("items", lambda t: t.startswith("=")), F.lit(0))).withColumn("need", F.array_sort(F.filter("items", lambda t: ~t.startswith("="))))
-    sets = materialise(sets.where(F.size("need") > 0).select("need", "verdict", "freq"), "itemsets")
+    sets = materialise(sets.where(F.size("need") > 0).select("need", "verdict", "freq"), "itemsets", small=True)
     whole = sets.where(F.col("verdict").isNull()).select("need", F.col("freq").alias("all"))
     rules = sets.where(F.col("verdict").isNotNull()).withColumn("verdict", F.substring("verdict", 2, 8)).join(whole, "need").select("need", "verdict", (F.col("freq") / F.col("all")).alias("confidence"), "freq").where(F.col("confidence") >= confidence)
     # the best by confidence and support, a bounded number; ties by name
