@@ -71,11 +71,16 @@ def with_results(states: DataFrame, markdown: DataFrame, summaries: DataFrame, j
     return states.where(F.col("status") == "done").join(markdown, job).join(summaries, job)
 
 
-def summary(results: DataFrame, total_elapsed_s: float) -> DataFrame:
-    """One row: a JSON object of the run with an entry for each file, nulls written out."""
+def summary_lines(results: DataFrame) -> DataFrame:
+    """A JSON line for each file, nulls written out: the form for runs whose entries do not fit in one object."""
     shown = ["source", "parser", "pages", "ok", "error", "elapsed_s", "table_count", "cpu_fallback"]
-    entry = F.to_json(F.struct(*shown), {"ignoreNullFields": "false"})
-    return results.agg(F.array_join(F.array_sort(F.collect_list(entry)), ",").alias("_f")).select(F.format_string('{"total_elapsed_s":%s,"files":[%s]}', F.lit(str(round(total_elapsed_s, 2))), F.col("_f")).alias("value"))
+    return results.select(F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def summary(results: DataFrame, total_elapsed_s: float) -> DataFrame:
+    """One row: a JSON object of the run with an entry for each file. One row holds all entries, so it is for the runs of one batch."""
+    entry = F.col("value")
+    return summary_lines(results).agg(F.array_join(F.array_sort(F.collect_list(entry)), ",").alias("_f")).select(F.format_string('{"total_elapsed_s":%s,"files":[%s]}', F.lit(str(round(total_elapsed_s, 2))), F.col("_f")).alias("value"))
 
 
 def report(found: DataFrame, unique: DataFrame, results: DataFrame, key: str) -> DataFrame:
@@ -84,7 +89,10 @@ def report(found: DataFrame, unique: DataFrame, results: DataFrame, key: str) ->
     b = unique.agg(F.count("*").alias("n_unique"))
     c = results.agg(F.count("*").alias("n_returned"), F.count_if(F.col("error").isNull()).alias("n_ok"), F.count_if(F.col("error").isNotNull()).alias("n_failed"))
     d = missing(unique, results, key).agg(F.count("*").alias("n_missing"))
-    one = a.join(F.broadcast(b)).join(F.broadcast(c)).join(F.broadcast(d))  # four one-row tables
+    rows = a
+    for more in (b, c, d):
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    one = rows.agg(*[F.max(n).alias(n) for n in ("n_found", "n_unique", "n_returned", "n_ok", "n_failed", "n_missing")])
     return one.withColumn("complete", (F.col("n_failed") == 0) & (F.col("n_missing") == 0))
 
 

@@ -8,10 +8,14 @@ import sys
 import time
 
 from ..config import PROFILES, settings
+from ..operators.jobs import summary_lines
 from ..sources.files import scan_file, scan_tree
 from . import sinks
 from .ingest import pdf_info, run
 
+#: Files that one summary object may hold; larger runs get a line for each file.
+MOST_SUMMARY = 100_000
+
 
 def arguments(args: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="foliospark", description="Classify documents, parse them and write Markdown with a summary.")
@@ -42,7 +46,10 @@ def main(args: list[str] | None = None) -> int:
     sinks.write_results(run(files, s), f"{output}/results")
     results = spark.read.parquet(f"{output}/results")
     sinks.write_documents(results, f"{output}/documents", s)
-    sinks.write_summary(results, f"{output}/summary", time.time() - began)
+    if results.count() <= MOST_SUMMARY:
+        sinks.write_summary(results, f"{output}/summary", time.time() - began)
+    else:
+        summary_lines(results).write.mode("overwrite").text(f"{output}/summary_lines")
     failed = results.where("NOT ok").count()
     log.info("%s failed, %.1f s", failed, time.time() - began)
     return int(single and failed > 0)
