@@ -38,11 +38,30 @@ def first_by_content(files: DataFrame, content: Column, order: str, hash_of: str
     return hashed.join(first.withColumnRenamed(hash_of, "_hash"), (F.col(hash_of) == F.col("_hash")) & (F.col(order) == F.col("_first")), "left_semi")
 
 
+def rank_within(rows: DataFrame, key: str, order: str, to: str, blocks: int = 64) -> DataFrame:
+    """rows with column `to`: the place, from 0, of each among those of its key by `order` (nulls first).
+
+    Ranked in blocks (key, range of `order`), so that a key with a large part of all rows is dealt over many tasks. The ranges come
+    from at most blocks - 1 values of `order`, picked by hash; they decide where rows go, not what they get.
+    """
+    some = rows.select(F.col(order).alias("o")).where("o is not null").orderBy(F.xxhash64("o"), "o").limit(blocks - 1)
+    bounds = sorted({r[0] for r in some.collect()})
+    at = F.lit(0)
+    for b in bounds:
+        at = at + F.when(F.col(order) >= F.lit(b), 1).otherwise(0)
+    placed = rows.withColumn("_at", at).withColumn("_in", F.row_number().over(Window.partitionBy(key, "_at").orderBy(order)))
+    sums = rows.select(F.col(key), at.alias("_at")).groupBy(key, "_at").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(F.col(key).alias("_key"), F.col("_at").alias("_block"), F.coalesce(before, F.lit(0)).alias("_before"))
+    out = placed.join(sums, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_block")))
+    return out.withColumn(to, F.col("_before") + F.col("_in") - 1).drop("_at", "_in", "_key", "_block", "_before")
+
+
 def numbered_names(files: DataFrame, name: str, order: str, to: str = "unique_name") -> DataFrame:
     """`a.pdf`, `a_1.pdf`, `a_2.pdf` by order among equal names; exact where no file already has such a number (see exact_names)."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1
     ext = F.regexp_extract(F.col(name), r"(?s)^.+(\.[^./]+)$", 1)
-    return files.withColumn(to, F.when(n == 0, F.col(name)).otherwise(F.concat(stem(F.col(name)), F.lit("_"), n.cast("string"), ext)))
+    numbered = F.concat(stem(F.col(name)), F.lit("_"), F.col("_rank").cast("string"), ext)
+    return rank_within(files, name, order, "_rank").withColumn(to, F.when(F.col("_rank") == 0, F.col(name)).otherwise(numbered)).drop("_rank")
 
 
 def free_names(names: Iterable[str], taken: Iterable[str] = ()) -> list[str]:

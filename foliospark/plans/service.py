@@ -99,7 +99,7 @@ class Service:
 
     def create_batch(self, files: list[tuple[str, bytes]]) -> Answer:
         if not files:
-            return 400, {"detail": "No files provided"}
+            return 400, {"detail": "the form holds no files"}
         b = self._create("batch", files)
         return 202, {"batch_id": b["id"], "status": "queued", "files": b["names"]}
 
@@ -118,23 +118,23 @@ class Service:
     def batch(self, key: str) -> Answer:
         b = self._get(key, "batch")
         if b is None:
-            return 404, {"detail": "Unknown batch_id"}
+            return 404, {"detail": "there is no such batch"}
         return 200, {"batch_id": key, **{k: b[k] for k in ("status", "created_at", "updated_at", "error")}, "files": self._files(b, False)}
 
     def batch_result(self, key: str) -> Answer:
         b = self._get(key, "batch")
         if b is None:
-            return 404, {"detail": "Unknown batch_id"}
+            return 404, {"detail": "there is no such batch"}
         if b["status"] in ("queued", "processing"):
-            return 409, {"detail": f"Batch not finished yet (status={b['status']})"}
+            return 409, {"detail": f"the batch is {b['status']}"}
         return 200, {"batch_id": key, "status": b["status"], "files": self._files(b, True)}
 
     def delete_batch(self, key: str) -> Answer:
         b = self._get(key, "batch")
         if b is None:
-            return 404, {"detail": "Unknown batch_id"}
+            return 404, {"detail": "there is no such batch"}
         if b["status"] == "processing":
-            return 409, {"detail": "Cannot delete a batch that is still processing"}
+            return 409, {"detail": "the batch is being processed"}
         return self._delete(key)
 
     def _delete(self, key: str) -> Answer:
@@ -149,29 +149,29 @@ class Service:
         name, content = files[0] if files else ("", b"")
         ext = Path(name).suffix.lower()
         if ext not in self.s.allowed_uploads:
-            return 400, {"detail": f"Unsupported file type: {ext!r}"}
+            return 400, {"detail": f"files of type {ext!r} are not taken"}
         if len(content) > self.s.max_upload_mb * 1024 * 1024:
-            return 413, {"detail": f"File too large, max {self.s.max_upload_mb} MB"}
+            return 413, {"detail": f"the file is larger than {self.s.max_upload_mb} MB"}
         return 202, {"job_id": self._create("job", [(name, content)])["id"], "filename": name}
 
     def job(self, key: str) -> Answer:
         j = self._get(key, "job")
         if j is None:
-            return 404, {"detail": f"Job {key!r} not found"}
+            return 404, {"detail": "there is no such job"}
         return 200, {"job_id": key, "filename": j["names"][0], **{k: j[k] for k in ("status", "created_at", "updated_at", "error")}}
 
     def job_result(self, key: str) -> Answer:
         j = self._get(key, "job")
         if j is None:
-            return 404, {"detail": f"Job {key!r} not found"}
+            return 404, {"detail": "there is no such job"}
         if j["status"] != "done":
-            return 409, {"detail": f"Job not done yet, current status: {j['status']!r}"}
+            return 409, {"detail": f"the job is {j['status']}"}
         texts = FILE_BREAK.join(r["content"] for _, r in sorted(j["results"].items()) if r["ok"])
         summary = {"files": [{k: r[k] for k in ("source", *_FILE, "ok")} for _, r in sorted(j["results"].items())]}
         return 200, {"job_id": key, "status": "done", "filename": j["names"][0], "markdown": texts, "summary": summary}
 
     def delete_job(self, key: str) -> Answer:
-        return self._delete(key) if self._get(key, "job") else (404, {"detail": f"Job {key!r} not found"})
+        return self._delete(key) if self._get(key, "job") else (404, {"detail": "there is no such job"})
 
     def health(self) -> Answer:
         up = not self.spark.sparkContext._jsc.sc().isStopped()
@@ -192,7 +192,7 @@ class Service:
         for verb, pattern, call in routes:
             if verb == method and (m := re.fullmatch(pattern, path)):
                 return call(*m.groups())
-        return 404, {"detail": "Not Found"}
+        return 404, {"detail": "there is no such path"}
 
 
 def multipart(content_type: str, body: bytes) -> list[tuple[str, bytes]]:

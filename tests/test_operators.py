@@ -58,6 +58,15 @@ def test_names_by_both_rules(spark):
     assert [simple[i] for i in (0, 1, 2, 4, 6)] == ["a.pdf", "a_1.pdf", "b.pdf", "a_2.pdf", "noext_1"]
 
 
+def test_ranks_of_a_hot_key(spark):
+    rows = [("hot", f"p{i:03}") for i in range(300)] + [("b", "p005"), ("b", None), (None, "x"), ("c", "p299")]
+    df = spark.createDataFrame(rows[::-1], "name string, path string")
+    out = assemble.rank_within(df, "name", "path", "n", blocks=16).collect()
+    got = {(r.name, r.path): r.n for r in out}
+    assert len(out) == len(rows) and all(got["hot", f"p{i:03}"] == i for i in range(300))
+    assert (got["b", None], got["b", "p005"], got[None, "x"], got["c", "p299"]) == (0, 1, 0, 0)
+
+
 def test_assembly(spark):
     pages = spark.createDataFrame([("d", 0, " \n", False), ("d", 2, "three", True), ("d", 1, "two‏", None), ("e", 0, "one", False), ("f", 0, None, False)], "doc_id string, page_no int, text string, fb boolean")
     out = {r.doc_id: r for r in assemble.assemble_pages(pages, fallback="fb").collect()}
