@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, materialise, over_arrow, scratch_path, shuffle_partitions
+from .common import load, materialise, over_arrow, scratch_path
 
 LEAST, SEGMENT, CHUNK, RECORDS = 1000, 16_384, 4096, 512
 _END, _GAP = "\r\n\r\n", b"\r\n\r\n"
@@ -159,7 +159,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     rows.append((h["warc-type"], name, h.get("warc-segment-origin-id", f"<{name}>").strip("<>"), int(number or 1), int(total) if total else None, h.get("warc-refers-to", "").strip("<>") or None, h.get("warc-payload-digest"), block, number is None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types], names=[f.split()[0] for f in schema.split(", ")])
 
-    return files.repartition(max(1, shuffle_partitions(spark))).mapInArrow(run, schema)
+    return files.mapInArrow(run, schema)
 
 
 def _joined(pieces: list[dict], total: int | None, whole: bool) -> tuple[bytes | None, str | None]:
