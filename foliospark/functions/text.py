@@ -26,8 +26,13 @@ ARABIC = r"[\x{0600}-\x{06FF}\x{0750}-\x{077F}\x{08A0}-\x{08FF}\x{FB50}-\x{FDFF}
 ARABIC_LEAST = 11
 
 
+def plain_ascii(text: Column) -> Column:
+    """True for texts without any character beyond ASCII: two lengths, and no pattern has to run."""
+    return F.octet_length(text) == F.length(text)
+
+
 def strip_bidi(text: Column) -> Column:
-    return F.regexp_replace(text, BIDI, "")
+    return F.when(plain_ascii(text), text).otherwise(F.regexp_replace(text, BIDI, ""))
 
 
 def strip(text: Column) -> Column:
@@ -36,7 +41,8 @@ def strip(text: Column) -> Column:
 
 
 def count_of(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern)).cast("long")
+    """Characters of one of the classes above, none of which has an ASCII character but NUL."""
+    return F.when(plain_ascii(text) & (F.instr(text, "\u0000") == 0), F.lit(0)).otherwise(F.regexp_count(text, F.lit(pattern))).cast("long")
 
 
 def share_of(text: Column, pattern: str) -> Column:
@@ -69,15 +75,14 @@ def lines(text: Column) -> Column:
 
 
 def is_table_row(line: Column) -> Column:
-    bare = strip(line)
-    return bare.startswith("|") & bare.endswith("|")
+    """Begins and ends with a bar, white space aside; a lone bar does both."""
+    return line.rlike(rf"(?s)\A[{SPACE}]*\|(?:.*\|)?[{SPACE}]*\z")
 
 
 def count_tables(text: Column) -> Column:
-    """Runs of lines that begin and end with a bar."""
-    rows = F.transform(lines(text), is_table_row)
-    starts = F.filter(F.arrays_zip(rows.alias("now"), F.concat(F.array(F.lit(False)), rows).alias("before")), lambda x: F.coalesce(x["now"] & ~x["before"], F.lit(False)))
-    return F.size(starts).cast("int")
+    """Runs of lines that begin and end with a bar: a letter for each line, then runs of letters."""
+    marks = F.array_join(F.transform(lines(text), lambda x: F.when(is_table_row(x), "r").otherwise("-")), "")
+    return F.regexp_count(marks, F.lit("r+")).cast("int")
 
 
 def escape_cell(text: Column) -> Column:

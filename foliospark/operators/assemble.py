@@ -46,9 +46,7 @@ def rank_within(rows: DataFrame, key: str, order: str, to: str, blocks: int = 64
     """
     some = rows.select(F.col(order).alias("o")).where("o is not null").orderBy(F.xxhash64("o"), "o").limit(blocks - 1)
     bounds = sorted({r[0] for r in some.collect()})
-    at = F.lit(0)
-    for b in bounds:
-        at = at + F.when(F.col(order) >= F.lit(b), 1).otherwise(0)
+    at = F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order))), F.lit(0)) if bounds else F.lit(0)
     placed = rows.withColumn("_at", at).withColumn("_in", F.row_number().over(Window.partitionBy(key, "_at").orderBy(order)))
     sums = rows.select(F.col(key), at.alias("_at")).groupBy(key, "_at").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))

@@ -78,6 +78,7 @@ def unreadable_rows(files: DataFrame) -> DataFrame:
 def classify(files: DataFrame, s: Settings) -> DataFrame:
     """files (ext, page_count, chars of the sampled pages) with doc_class, parser, folder and label."""
     average = F.aggregate("chars", F.lit(0.0), lambda a, x: a + x) / F.when(F.size("chars") > 0, F.size("chars"))
-    cls = doc_class(F.col("ext"), F.col("page_count"), scanned(average, F.col("page_count"), s.scan_char_threshold), s)
-    out = files.withColumn("doc_class", cls)
+    # step by step: a column that is used more than once is computed once
+    out = files.withColumn("_scan", scanned(average, F.col("page_count"), s.scan_char_threshold))
+    out = out.withColumn("doc_class", doc_class(F.col("ext"), F.col("page_count"), F.col("_scan"), s)).drop("_scan")
     return out.withColumns({"parser": parser(F.col("doc_class")), "folder": folder(F.col("doc_class")), "label": label(F.col("doc_class"))})

@@ -33,7 +33,7 @@ def _ext(doc_id: Column) -> Column:
 
 def _files(spark: SparkSession, sf: str) -> DataFrame:
     """doc_id, ext, page_count, chars of the sampled pages."""
-    d = _table(spark, sf, "documents").select("doc_id", F.length("text").alias("n"))
+    d = _table(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("n"))  # no text is read
     d = d.withColumn("page_count", F.ceil(F.col("n") / PAGE_CHARS).cast("int"))
     most = F.when(F.col("doc_id") % 7 == 3, THIN_CHARS).otherwise(PAGE_CHARS)
     chars = F.transform(classify.sample_pages(F.col("page_count"), S.scan_sample_pages), lambda p: F.least(most, F.col("n") - p * PAGE_CHARS).cast("int"))
@@ -158,8 +158,9 @@ FROM (SELECT doc_id, text, replace({_ODD_SQL}, chr(8206), '') AS t FROM document
 
 
 def _garbage(spark: SparkSession, sf: str, pattern: str, limit: float) -> DataFrame:
-    t = F.translate(F.col("text"), "zjw,", "中Ж℀　")
-    return _table(spark, sf, "documents").select("doc_id", T.count_of(t, pattern).alias("n_bad"), F.length(t).cast("long").alias("n"), (T.share_of(t, pattern) > limit).alias("garbage"))
+    t = _table(spark, sf, "documents").select("doc_id", F.translate(F.col("text"), "zjw,", "中Ж℀　").alias("t"))
+    n = t.select("doc_id", T.count_of(F.col("t"), pattern).alias("n_bad"), F.length("t").cast("long").alias("n"))
+    return n.select("doc_id", "n_bad", "n", F.coalesce(F.try_divide("n_bad", "n") > limit, F.lit(False)).alias("garbage"))
 
 
 def garbage_office(spark: SparkSession, sf: str) -> DataFrame:
