@@ -148,8 +148,9 @@ _ODD_SQL = "translate(text, 'aeozxq,', chr(8206) || chr(20013) || chr(1046) || c
 
 
 def strip_bidi(spark: SparkSession, sf: str) -> DataFrame:
-    t = T.strip_bidi(_odd(F.col("text")))
-    return _table(spark, sf, "documents").select("doc_id", F.length(t).cast("long").alias("n"), F.md5(t).alias("stripped_md5"), F.md5(T.strip(F.concat(F.lit("　\n\x1c"), F.col("text"), F.lit("   ")))).alias("bare_md5"))
+    d = _table(spark, sf, "documents").select("doc_id", "text", _odd(F.col("text")).alias("odd")).withColumn("t", T.strip_bidi(F.col("odd")))
+    bare = T.strip(F.concat(F.lit("　\n\x1c"), F.col("text"), F.lit("   ")))
+    return d.select("doc_id", F.length("t").cast("long").alias("n"), F.md5("t").alias("stripped_md5"), F.md5(bare).alias("bare_md5"))
 
 
 _BIDI_SQL = f"""
@@ -177,8 +178,8 @@ def _garbage_sql(letters: str, limit: float) -> str:
 
 
 def arabic_forms(spark: SparkSession, sf: str) -> DataFrame:
-    t = _odd(F.col("text"))
-    return _table(spark, sf, "documents").select("doc_id", T.count_of(t, T.ARABIC_FORMS).alias("n_forms"), T.count_of(t, T.ARABIC).alias("n_arabic"), (T.arabic_forms(t) > S.arabic_forms).alias("old_encoding"))
+    d = _table(spark, sf, "documents").select("doc_id", _odd(F.col("text")).alias("t"))
+    return d.select("doc_id", T.count_of(F.col("t"), T.ARABIC_FORMS).alias("n_forms"), T.count_of(F.col("t"), T.ARABIC).alias("n_arabic"), (T.arabic_forms(F.col("t")) > S.arabic_forms).alias("old_encoding"))
 
 
 _ARABIC_SQL = """
