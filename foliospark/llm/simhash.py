@@ -4,8 +4,11 @@ Fingerprints: words split at ASCII white space, A-Z lower-cased, word shingles w
 one has fingerprint 0). A shingle's XXH64 with seed 42 gives 64 bits, further words of a longer fingerprint are mixed from it; a bit
 is 1 if it is in more than half of the hashes.
 
-Two settings. CONTRACT: 3-word shingles, 64 bits, links at 2 or fewer differing bits. NEAR: 5-word shingles and 768 bits, links where
-as few bits differ as a similarity (Jaccard) of 0.8 or more leaves, 1.5 deviations allowed; twelve tries take 32 of the bits each.
+Two settings. CONTRACT: 3-word shingles, 64 bits, links at 2 or fewer differing bits. NEAR: sets of 5-word shingles (no repeats) with a
+similarity (Jaccard) of 0.8 or more. Its 768 bits only propose: 24 tries take 32 bits each, all of them together, and the bit limit is
+that of the worst pair of sets at 0.8 with three deviations more. Each proposed group is then decided on the shingle sets themselves: a
+group is cut into blocks of bounded size, pairs of blocks are tasks, and only pairs of sets that reach the similarity are linked.
+What a task takes is bounded; a group of m different texts costs m / block copies of each of its sets, copies with equal sets count once.
 
 Join: equal fingerprints count once. The trie of all fingerprints' segments is cut into nodes of bounded size (heavy nodes are cut
 further, by counts of their own), and pairs of nodes whose prefixes differ in at most `budget` bits become tasks. A task walks its two
@@ -43,15 +46,14 @@ _NO_ID = 1 << 62
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def differing_bits(similarity: float, bits: int) -> int:
-    """Bits that differ between texts of that Jaccard similarity and like length, with one and a half standard deviations, so that few at the bound are missed."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(bits * p + 1.5 * math.sqrt(bits * p * (1 - p)))
+def differing_bits(share: float, bits: int) -> int:
+    """Bits that differ where each does with that likelihood, with three standard deviations, so that hardly any pair at the bound is missed."""
+    return math.floor(bits * share + 3 * math.sqrt(bits * share * (1 - share)))
 
 
 @dataclass(frozen=True)
 class Setting:
-    """shingle: words; words: 64-bit words of a fingerprint; segment: bits that a trie takes; segments: tries; budget: its errors; most: differing bits of a link; leaf: size of a node."""
+    """shingle: words; words: 64-bit words of a fingerprint; segment: bits that a trie takes; segments: tries; budget: its errors; most: differing bits of a link; leaf: size of a node; similarity: least Jaccard of shingle sets, as a fraction, that confirms a link (None: the bits decide)."""
 
     shingle: int
     words: int
@@ -60,10 +62,16 @@ class Setting:
     budget: int
     most: int
     leaf: int
+    similarity: tuple[int, int] | None = None
 
 
 CONTRACT = Setting(shingle=3, words=1, segment=64, segments=1, budget=2, most=2, leaf=131_072)
-NEAR = Setting(shingle=5, words=12, segment=32, segments=12, budget=3, most=differing_bits(0.8, 768), leaf=524_288)
+#: Of all sets at 0.8, four shingles against five differ in the most bits: 3 of 16 (long texts: acos(8 / 9) / pi, or 0.15).
+NEAR = Setting(shingle=5, words=12, segment=32, segments=24, budget=3, most=differing_bits(3 / 16, 768), leaf=524_288, similarity=(4, 5))
+#: Sets, and shingles, of a block of a proposed group.
+BLOCK_SETS, BLOCK_SHINGLES = 4096, 1 << 22
+#: Behind a fingerprint that is confirmed by its set: digest and size of the set.
+_DIGEST, _SIZE = 12, 4
 
 
 def shingle_hashes(raw: bytes | None, k: int) -> np.ndarray:
@@ -76,6 +84,16 @@ def shingle_hashes(raw: bytes | None, k: int) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(words) - k + 1)
 
 
+def shingle_set(raw: bytes | None, k: int) -> np.ndarray:
+    """Ascending, without repeats."""
+    return np.unique(shingle_hashes(raw, k))
+
+
+def set_key(h: np.ndarray) -> bytes:
+    """Digest and size of a set of shingles."""
+    return xxhash.xxh3_128_digest(h.tobytes())[:_DIGEST] + len(h).to_bytes(_SIZE, "big")
+
+
 def _widened(h: np.ndarray, words: int) -> np.ndarray:
     """(hashes, words): the hash itself, then independent mixes of it."""
     out = np.empty((len(h), words), np.uint64)
@@ -107,7 +125,7 @@ def fingerprints(raw: list[bytes | None], s: Setting = CONTRACT) -> np.ndarray:
             out[which] = np.packbits(2 * ones > sizes[:, None], axis=1).view(">u8").astype(np.uint64)
             some, which, held = [], [], 0
         if i < len(raw):
-            h = shingle_hashes(raw[i], s.shingle)
+            h = shingle_hashes(raw[i], s.shingle) if s.similarity is None else shingle_set(raw[i], s.shingle)
             if len(h):
                 some.append(h)
                 which.append(i)
@@ -116,12 +134,15 @@ def fingerprints(raw: list[bytes | None], s: Setting = CONTRACT) -> np.ndarray:
 
 
 def fingerprint(docs: DataFrame, s: Setting = CONTRACT) -> DataFrame:
-    """(doc_id, fp) over whole texts; fp is the fingerprint's bytes."""
+    """(doc_id, fp) over whole texts; fp is the fingerprint's bytes, with the set's key behind where sets confirm."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            prints = fingerprints(raw_texts(batch.column("text")), s).astype(">u8")
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([p.tobytes() for p in prints], pa.binary())], names=["doc_id", "fp"])
+            raw = raw_texts(batch.column("text"))
+            prints = [p.tobytes() for p in fingerprints(raw, s).astype(">u8")]
+            if s.similarity is not None:
+                prints = [p + set_key(shingle_set(r, s.shingle)) for p, r in zip(prints, raw, strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.binary())], names=["doc_id", "fp"])
 
         return work
 
@@ -363,15 +384,90 @@ def links(table: DataFrame, s: Setting = CONTRACT) -> DataFrame:
     return dealt.groupBy("task").applyInPandas(walk, "u long, v long")
 
 
+def alike(sets: list[np.ndarray], similarity: tuple[int, int]) -> list[tuple[int, int]]:
+    """Spanning links of the graph of all pairs of sets (without repeats) whose Jaccard similarity is enough. Empty sets have none."""
+    up, down = similarity
+    size = np.array([len(x) for x in sets], np.int64)
+    left = np.flatnonzero(size)
+    if len(left) < 2:
+        return []
+    seen, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    of = np.split(ids, np.cumsum(size)[:-1])
+    mark = np.zeros(len(seen), bool)
+    found, queue, packed = [], [], None
+    while len(left):
+        if not queue:
+            queue, left = [int(left[0])], left[1:]
+            continue
+        i = queue.pop()
+        near = left[(down * size[left] >= up * size[i]) & (down * size[i] >= up * size[left])]
+        if not len(near):
+            continue
+        if packed is None or 2 * len(left) < len(packed[0]):
+            packed = left, np.concatenate([of[x] for x in left]), np.cumsum(size[left]) - size[left]
+        mark[of[i]] = True
+        if 4 * len(near) < len(packed[0]):
+            both = np.array([np.count_nonzero(mark[of[x]]) for x in near])
+        else:
+            both = np.add.reduceat(mark[packed[1]], packed[2], dtype=np.int64)[np.searchsorted(packed[0], near)]
+        mark[of[i]] = False
+        own = near[down * both >= up * (size[near] + size[i] - both)]
+        found += [(i, int(x)) for x in own]
+        queue += own.tolist()
+        left = np.setdiff1d(left, own, assume_unique=True)
+    return found
+
+
+def confirmed(docs: DataFrame, table: DataFrame, proposed: DataFrame, s: Setting) -> DataFrame:
+    """Links (u, v) of nodes of (fp, node) whose shingle sets are alike, among the members of each component of `proposed` (u, v).
+
+    The sets are made again from the texts of the members alone, one for each node. Every pair of a component meets in a task.
+    """
+    of = proposed.select(F.col("u").alias("member"), F.col("v").alias("c")).unionByName(proposed.select(F.col("v").alias("member"), F.col("v").alias("c")).distinct())
+    length = 8 * s.words + _DIGEST
+    n = F.conv(F.hex(F.substring("fp", length + 1, _SIZE)), 16, 10).cast("long")
+    members = materialise(table.join(of, F.col("node") == F.col("member")).select("fp", "node", "c", n.alias("n")), "members", small=True)
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sized = members.groupBy("c").agg(blocks.alias("blocks")).withColumnRenamed("c", "of_c")
+    placed = members.join(sized, F.col("c") == F.col("of_c")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+
+    def make():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [shingle_set(raw, s.shingle) for raw in raw_texts(batch.column("text"))]
+            return pa.RecordBatch.from_arrays([pa.array([set_key(h) for h in sets], pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], names=["key", "shingles"])
+
+        return work
+
+    # a node is the smallest id of its texts; those without any id are looked for among all texts without id
+    ids = members.select(F.when(F.col("node") < _NO_ID, F.col("node")).otherwise(_NO_ID).alias("id")).distinct()
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("of_id"), F.col("text").cast("string").alias("text"))
+    sets = over_arrow(texts.join(ids, F.col("of_id") == F.col("id"), "left_semi").select("text"), "key binary, shingles binary", make)
+    sets = sets.groupBy("key").agg(F.first("shingles").alias("shingles"))
+    held = placed.withColumn("of_key", F.substring("fp", 8 * s.words + 1, _DIGEST + _SIZE)).join(sets, F.col("of_key") == F.col("key"))
+    # a block meets each other block of its component, or itself if it is the only one
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (F.col("blocks") == 1) | (x != F.col("block")))
+    dealt = held.withColumn("other", F.explode(others)).select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "shingles")
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = np.array(alike([np.frombuffer(x, np.uint64) for x in pdf["shingles"]], s.similarity), np.int64).reshape(-1, 2)
+        node = pdf["node"].to_numpy()
+        return pd.DataFrame({"u": node[found[:, 0]], "v": node[found[:, 1]]})
+
+    return dealt.groupBy("c", "i", "j").applyInPandas(decide, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, s: Setting = CONTRACT) -> DataFrame:
     """(doc_id, fp, component_id) of every document."""
     prints = materialise(fingerprint(docs, s), "fingerprints")
     least = F.coalesce(F.min("doc_id"), F.lit(_NO_ID) + F.shiftrightunsigned(F.xxhash64("fp"), 2))
     table = materialise(prints.groupBy("fp").agg(least.alias("node")), "distinct", small=True)
-    stars = components(links(table, s))
+    bits = F.substring("fp", 1, 8 * s.words)
+    stars = components(links(table.select(bits.alias("fp"), "node"), s))
+    if s.similarity is not None:
+        stars = components(confirmed(docs, table, stars, s))
     of = table.join(stars, table.node == stars.u, "left").select(F.col("fp").alias("of_fp"), F.coalesce("v", "node").alias("c"))
     out = prints.join(of, F.col("fp") == F.col("of_fp"))
-    return out.select("doc_id", "fp", F.when(F.col("c") < _NO_ID, F.col("c")).alias("component_id"))
+    return out.select("doc_id", bits.alias("fp"), F.when(F.col("c") < _NO_ID, F.col("c")).alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, s: Setting = NEAR) -> DataFrame:

@@ -124,6 +124,34 @@ def test_long_fingerprints(spark):
         assert np.mean([found[d] == 4 * family[d] for d in found if alike[d] < 0.5]) < 0.05
 
 
+def test_near_links_are_exact(spark, monkeypatch):
+    """Pairs on both sides of 0.8, short ones, repeats, several texts of an id and groups of many blocks, against the exact similarity of all pairs."""
+    rng = np.random.default_rng(21)
+    words = [f"w{i}" for i in range(5000)]
+    texts = []
+    for _ in range(60):
+        own = rng.choice(words, int(rng.integers(10, 300))).tolist()
+        texts.append(own)
+        for goal in (0.72, 0.76, 0.79, 0.81, 0.85):
+            # a run of new words at the end leaves n - k of n + k shingles
+            n = len(own) - 4
+            k = round(n * (1 - goal) / (1 + goal))
+            texts.append(own[: len(own) - k] + rng.choice(words, k).tolist())
+    texts += [["again"] * 400 + rng.choice(words, 60).tolist() for _ in range(4)]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    told = simhash.Forest(len(sets))
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            told.add(np.array([i]), np.array([j]))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for sets_of_block in (simhash.BLOCK_SETS, 2):
+        monkeypatch.setattr(simhash, "BLOCK_SETS", sets_of_block)
+        found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, simhash.NEAR).collect()}
+        assert [found[i] for i in range(len(texts))] == told.parent.tolist()
+    left = simhash.drop_near_duplicates(docs.unionByName(spark.createDataFrame([(None, "no id " * 9), (None, "no id " * 9 + "x"), (0, "the same id again")], docs.schema)))
+    assert left.count() == len(set(told.parent.tolist())) + 3
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 200), (200, 300), (200, 250)]
     out = {r.u: r.v for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
