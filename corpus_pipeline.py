@@ -9,7 +9,7 @@ from foliospark.llm.decontaminate import drop_contaminated
 from foliospark.llm.mixing import training_order
 from foliospark.llm.quality import keep_good, trained
 from foliospark.llm.simhash import drop_near_duplicates
-from foliospark.llm.tokens import token_records
+from foliospark.llm.tokens import token_shards
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +33,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Fixed-stride token records in permuted slots."""
-    return token_records(docs)
+    """Fixed-stride token records in permuted slots, written as shards and read back."""
+    return token_shards(docs)
 
 
 STAGES = [

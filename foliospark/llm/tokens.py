@@ -6,7 +6,8 @@ permutation with cycle-walking gives each of the N sequences a slot of its own i
 arithmetic and a run resumes at any slot.
 
 Record: doc_id (8 bytes), sequence number (4), count of ids (4), the ids (2 or 4 bytes each by vocabulary size, the rest filled with
-the end-of-text id), all little-endian. Shard files of `write_shards` add one line feed to each record.
+the end-of-text id), all little-endian. Shard files of `write_shards` add one line feed to each record. The query and the pipeline's
+last stage write the shards to the shared folder and return the rows that `read_shards` finds there.
 
 Tokenised sequences are written once to the shared folder; the table of counts by partition, a row for each partition, gives every
 sequence its number. The tokenizer's ranks are a file of fixed size, read by the driver and broadcast.
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, materialise, over_arrow
+from .common import load, materialise, over_arrow, scratch_path
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the byte-level vocabulary splits a text before merging (a fixed value of that vocabulary).
@@ -154,7 +155,7 @@ def token_records(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH,
     shards = max(1, -(-total // shard_records))
     dealt = placed.withColumn("shard", F.floor(F.col("slot") / shard_records).cast("int")).select("shard", "slot", "doc_id", "seq_no", "n_tokens", "record")
     fill = F.lit(vocab.end.to_bytes(vocab.width, "little"))
-    ordered = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
+    ordered = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot")  # the order that a write by shard asks for, so it sorts no more
     return ordered.withColumn("record", F.rpad("record", HEADER + length * vocab.width, fill))
 
 
@@ -179,5 +180,41 @@ def read_slots(spark: SparkSession, path: str, start: int = 0, length: int = LEN
         shard, skip = shard + 1, 0
 
 
+def read_shards(spark: SparkSession, path: str, length: int = LENGTH, width: int = 2, shard_records: int = SHARD_RECORDS) -> DataFrame:
+    """(shard, slot, doc_id, seq_no, n_tokens, record) of all shard files, each file's in slot order; id -1 is null again."""
+    body = HEADER + length * width
+    stride = body + 1
+    fields = np.dtype([("doc_id", "<i8"), ("seq_no", "<i4"), ("n_tokens", "<i4"), ("ids", f"V{length * width}"), ("feed", "V1")])
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["shard", "slot", "doc_id", "seq_no", "n_tokens", "record"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, shard in enumerate(batch.column("shard").to_pylist()):
+                content = batch.column("content")[file].as_buffer()
+                if content.size % stride:
+                    raise ValueError(f"shard {shard} is cut: {content.size} bytes are no multiple of {stride}")
+                for lo in range(0, content.size // stride, 1024):
+                    part = content[lo * stride : min((lo + 1024) * stride, content.size)]
+                    head = np.frombuffer(part, fields)
+                    n, raw = len(head), part.to_pybytes()
+                    records = [raw[k * stride : k * stride + body] for k in range(n)]
+                    ids = pa.array(head["doc_id"], pa.int64(), mask=head["doc_id"] == -1)
+                    slots = shard * shard_records + np.arange(lo, lo + n)
+                    columns = [np.full(n, shard, np.int32), slots, ids, np.ascontiguousarray(head["seq_no"]), np.ascontiguousarray(head["n_tokens"]), records]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types, strict=True)], names=names)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    shard = F.regexp_extract("path", r"/shard=([0-9]+)/", 1).cast("int")
+    return files.select(shard.alias("shard"), "content").mapInArrow(work, "shard int, slot long, doc_id long, seq_no int, n_tokens int, record binary")
+
+
+def token_shards(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Writes the shards of documents, to a new folder of the shared one if no path is given, and returns the rows read back."""
+    path = path or scratch_path(docs.sparkSession, "shards")
+    write_shards(token_records(docs), path)
+    return read_shards(docs.sparkSession, path, width=vocabulary().width)
+
+
 def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_records(load(spark, sf_dir, "documents"))
+    return token_shards(load(spark, sf_dir, "documents"))

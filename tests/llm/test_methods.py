@@ -62,6 +62,25 @@ def test_trie_join(spread):
         assert np.array_equal(found, told.parent)
 
 
+def test_query_writes_shards(spark, tmp_path, monkeypatch):
+    """The query and the last stage commit shards and return what stands in them."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i or None, f"text {i} with some\nwords é " * (300 * (i % 3))) for i in range(12)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for k, call in enumerate((lambda: tokens.op1_token_shards(spark, str(tmp_path)), lambda: corpus_pipeline.token_stage(spark, docs, str(tmp_path)))):
+        path = str(tmp_path / f"shards{k}")
+        monkeypatch.setattr(tokens, "scratch_path", lambda spark, name, path=path, real=tokens.scratch_path: path if name == "shards" else real(spark, name))
+        out = call()
+        assert (tmp_path / f"shards{k}" / "_SUCCESS").exists() and len(list((tmp_path / f"shards{k}").glob("shard=*/part-*"))) == 1
+        due = {(r.doc_id, r.seq_no, r.n_tokens, bytes(r.record)) for r in tokens.token_records(docs).collect()}
+        found = out.collect()
+        assert len(found) == len(due) and {(r.doc_id, r.seq_no, r.n_tokens, bytes(r.record)) for r in found} == due
+        assert [r.slot for r in found] == list(range(len(found))) == [s for s, *_ in tokens.read_slots(spark, path)]
+    monkeypatch.undo()
+    assert tokens.token_shards(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("copies", [30, 3000])
 def test_trie_join_of_a_dense_group(copies):
     """Two groups whose values agree but whose fingerprints do not, and strangers; leaves with many members."""
