@@ -1,14 +1,15 @@
 """URL filter by association rules.
 
 Given rules (host, path) decide the urls that they fit. Labels to learn from are those verdicts, and `block` for urls without a rule
-whose host has a seed word (a weak label, a parameter). FP-growth mines combinations of url tokens that go with a label, over all
+whose host has a seed word (a weak label, a parameter; where no rule fits such a url, the weak label decides). FP-growth mines combinations of url tokens that go with a label, over all
 urls: one without a label counts against a rule's confidence, so that what is labelled only where it is bad is not blamed; rules of enough support and confidence are kept, those that a shorter kept rule already implies at no less
 confidence are dropped, and an inverted index from tokens to rules judges all other urls.
 
-Tokens of a url: scheme, labels of the host from the right with their depth and the words of hyphenated ones, leading path parts with their
-depth, the shape of every part (digits, letters, mixed), extension, keys of the query, whether there is a fragment. So a url has at
-most `MOST_TOKENS` tokens, itemsets are bounded by 2 ** MOST_TOKENS / support, and the kept rules, at most `MOST_RULES` by
-confidence and support, are what the driver holds.
+Tokens of a url: scheme, all labels of the host from the right with their depth and their words (split at hyphens), all path parts
+with their depth, the shape of every part (digits, letters, mixed), extension, all keys of the query. No url is cut. Itemsets have at
+most `LONGEST` tokens, and support counts within the urls of a verdict, so that a rare verdict has rules too, and is `FEWEST` urls at least. Patterns are grown from
+the end of each frequent token's prefixes, a task for a token; the driver holds frequent tokens, at most tokens of a url / support for
+each verdict, and the kept rules, at most `MOST_RULES` by confidence and support.
 
 Defined cases: a null url or one without :// has empty host and path, and the method judges its (empty) tokens, which is the default
 verdict. Without any labelled url there are no mined rules and all other urls get the default. Repeated rows each get a row; a null
@@ -17,11 +18,13 @@ page_id is kept. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +33,10 @@ from .common import load, materialise
 #: (verdict, host, path)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 DEFAULT, BLOCK = "allow", 0.5
-SUPPORT, CONFIDENCE, MOST_TOKENS, MOST_RULES = 0.005, 0.6, 14, 20_000
+SUPPORT, FEWEST, CONFIDENCE, LONGEST, MOST_RULES = 0.005, 5, 0.6, 4, 20_000
 #: Host words that weakly label a url as one to block.
 SEED_WORDS = ("casino", "bets", "poker", "pills", "adult", "porn", "xxx", "spam", "malware", "phishing", "ads")
+VERDICTS = ("allow", "block")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,28 +58,28 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def host_words(host: Column) -> Column:
-    """Words of the host's hyphenated labels."""
-    return F.flatten(F.transform(F.filter(F.split(host, r"\."), lambda x: x.contains("-")), lambda x: F.filter(F.split(x, "-"), lambda w: w != "")))
+    """Words of the host's labels, which hyphens part."""
+    return F.array_distinct(F.filter(F.split(host, r"[.-]"), lambda w: w != ""))
 
 
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens of a url, MOST_TOKENS at most."""
+    """Distinct tokens of a url."""
     url = F.coalesce(url, F.lit(""))
     labels = F.reverse(F.split(host, r"\."))
     parts = F.filter(F.split(path, "/"), lambda p: p != "")
     shape = lambda p: F.when(p.rlike("^[0-9]+$"), "digits").when(p.rlike("^[A-Za-z]+$"), "letters").otherwise("mixed")
-    keys = F.transform(F.slice(F.filter(F.split(F.regexp_extract(url, r"(?s)\?([^#]*)", 1), "&"), lambda q: q != ""), 1, 2), lambda q: F.concat(F.lit("q:"), F.regexp_extract(q, "^[^=]*", 0)))
+    keys = F.transform(F.filter(F.split(F.regexp_extract(url, r"(?s)\?([^#]*)", 1), "&"), lambda q: q != ""), lambda q: F.concat(F.lit("q:"), F.regexp_extract(q, "^[^=]*", 0)))
     found = F.concat(
         F.array(F.concat(F.lit("s:"), F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)))),
-        F.transform(F.slice(labels, 1, 3), lambda x, i: F.concat(F.lit("h"), i.cast("string"), F.lit(":"), x)),
-        F.transform(F.slice(host_words(host), 1, 3), lambda x: F.concat(F.lit("w:"), x)),
+        F.transform(labels, lambda x, i: F.concat(F.lit("h"), i.cast("string"), F.lit(":"), x)),
+        F.transform(host_words(host), lambda x: F.concat(F.lit("w:"), x)),
         F.array(F.concat(F.lit("n:"), F.size(labels).cast("string"))),
-        F.transform(F.slice(parts, 1, 2), lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), F.substring(x, 1, 64))),
-        F.transform(F.slice(parts, 1, 2), lambda x, i: F.concat(F.lit("f"), i.cast("string"), F.lit(":"), shape(x))),
+        F.transform(parts, lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), x)),
+        F.transform(parts, lambda x, i: F.concat(F.lit("f"), i.cast("string"), F.lit(":"), shape(x))),
         F.array(F.concat(F.lit("x:"), F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1))),
         keys,
     )
-    return F.slice(F.array_distinct(F.filter(found, lambda t: ~t.rlike("^[a-z][0-9]*:$"))), 1, MOST_TOKENS)
+    return F.array_distinct(F.filter(found, lambda t: ~t.rlike("^[a-z][0-9]*:$")))
 
 
 @dataclass
@@ -85,8 +89,8 @@ class Rules:
     rules: list[tuple[frozenset[str], float]]
     index: dict[str, list[int]]
 
-    def judge(self, tokens: list[str] | None) -> float:
-        """Confidence of block: the mean over the rules that fit, each weighing its own decidedness; the default without any."""
+    def judge(self, tokens: list[str] | None, weak: str | None = None) -> float:
+        """Confidence of block: the mean over the rules that fit, each weighing its own decidedness; without any the weak label or the default."""
         own = set(tokens or ())
         up = total = 0.0
         for t in own:
@@ -95,19 +99,68 @@ class Rules:
                 if need <= own:
                     weight = abs(block - 0.5) ** 2 * len(need)
                     up, total = up + weight * block, total + weight
-        return up / total if total else (0.0 if DEFAULT == "allow" else 1.0)
-
-
-def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, most: int = MOST_RULES) -> Rules:
+        return up / total if total else float((weak or DEFAULT) == "block")
+
+
+def grow(base: dict[tuple[int, ...], np.ndarray], suffix: tuple[int, ...], least: np.ndarray, longest: int, out: list) -> None:
+    """FP-growth over a pattern base (ascending items: counts in all and for each verdict): adds (items, counts) of all sets with the suffix, at most `longest` items, that are frequent for a verdict."""
+    counts: dict[int, np.ndarray] = {}
+    for items, n in base.items():
+        for x in items:
+            counts[x] = counts[x] + n if x in counts else n
+    for x, n in counts.items():
+        if (n[1:] < least).all():
+            continue
+        found = (x, *suffix)
+        out.append((found, n))
+        if len(found) < longest:
+            below: dict[tuple[int, ...], np.ndarray] = {}
+            for items, m in base.items():
+                if x in items and (head := items[: items.index(x)]):
+                    below[head] = below[head] + m if head in below else m
+            grow(below, found, least, longest, out)
+
+
+def itemsets(urls: DataFrame, support: float, longest: int) -> DataFrame:
+    """(need, all, allow, block, allow_least, block_least): sets of at most `longest` tokens, with their counts among all urls and those of a verdict, frequent for a verdict if in `support` of its urls."""
+    spark = urls.sparkSession
+    schema = "need array<string>, all long, " + ", ".join(f"{v} long" for v in VERDICTS) + ", " + ", ".join(f"{v}_least long" for v in VERDICTS)
+    sums = [F.sum(v).alias(v) for v in ("all", *VERDICTS)]
+    ones = [F.lit(1).cast("long").alias("all"), *[F.coalesce((F.col("verdict") == v).cast("long"), F.lit(0)).alias(v) for v in VERDICTS]]
+    marked = urls.select("tokens", *ones)
+    total = marked.agg(*[F.sum(v).alias(v) for v in VERDICTS]).first()
+    least = [max(FEWEST, math.ceil(support * (total[v] or 0))) for v in VERDICTS]
+    often = marked.select(F.explode("tokens").alias("token"), "all", *VERDICTS).groupBy("token").agg(*sums)
+    often = often.where(F.lit(False) if not any(total[v] for v in VERDICTS) else (F.col(VERDICTS[0]) >= least[0]) | (F.col(VERDICTS[1]) >= least[1]))
+    order = [r[0] for r in often.orderBy(F.desc("all"), "token").select("token").collect()]
+    shared = spark.sparkContext.broadcast({x: i for i, x in enumerate(order)})
+    names = spark.sparkContext.broadcast(order)
+
+    @F.arrow_udf("array<int>")
+    def ranks(tokens: pa.Array) -> pa.Array:
+        of = shared.value
+        return pa.array([sorted({of[x] for x in row or () if x in of}) for row in tokens.to_pylist()], pa.list_(pa.int32()))
+
+    rows = marked.select(ranks("tokens").alias("items"), "all", *VERDICTS).groupBy("items").agg(*sums)
+    heads = rows.select(F.posexplode("items").alias("at", "item"), "items", "all", *VERDICTS)
+    heads = heads.select("item", F.expr("slice(items, 1, at)").alias("head"), "all", *VERDICTS).groupBy("item", "head").agg(*sums)
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        item, counts = int(pdf["item"].iloc[0]), pdf[["all", *VERDICTS]].to_numpy(np.int64)
+        out = [((item,), counts.sum(0))]
+        if longest > 1:
+            grow({tuple(h): n for h, n in zip((x.tolist() for x in pdf["head"]), counts, strict=True) if h}, (item,), np.array(least), longest, out)
+        return pd.DataFrame([[sorted(names.value[x] for x in items), *n.tolist(), *least] for items, n in out], columns=[x.split()[0] for x in schema.split(", ")])
+
+    return heads.groupBy("item").applyInPandas(work, schema)
+
+
+def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, most: int = MOST_RULES, longest: int = LONGEST) -> Rules:
     """Rules from columns tokens and verdict (null: no label)."""
-    items = urls.select(F.when(F.col("verdict").isNull(), F.col("tokens")).otherwise(F.array_append("tokens", F.concat(F.lit("="), F.col("verdict")))).alias("items"))
-    if not urls.where(F.col("verdict").isNotNull()).take(1):
-        return Rules([], {})
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
-    sets = model.freqItemsets.withColumn("verdict", F.get(F.filter("items", lambda t: t.startswith("=")), F.lit(0))).withColumn("need", F.array_sort(F.filter("items", lambda t: ~t.startswith("="))))
-    sets = materialise(sets.where(F.size("need") > 0).select("need", "verdict", "freq"), "itemsets", small=True)
-    whole = sets.where(F.col("verdict").isNull()).select("need", F.col("freq").alias("all"))
-    rules = sets.where(F.col("verdict").isNotNull()).withColumn("verdict", F.substring("verdict", 2, 8)).join(whole, "need").select("need", "verdict", (F.col("freq") / F.col("all")).alias("confidence"), "freq").where(F.col("confidence") >= confidence)
+    sets = materialise(itemsets(urls, support, longest), "itemsets", small=True)
+    sides = F.explode(F.array(*[F.struct(F.lit(v).alias("verdict"), F.col(v).alias("freq"), F.col(f"{v}_least").alias("least")) for v in VERDICTS]))
+    rules = sets.select("need", "all", sides.alias("side")).select("need", "side.*", (F.col("side.freq") / F.col("all")).alias("confidence"))
+    rules = rules.where((F.col("freq") >= F.col("least")) & (F.col("confidence") >= confidence)).drop("least")
     # the best by confidence and support, a bounded number; ties by name
     rows = rules.orderBy(F.desc("confidence"), F.size("need"), F.desc("freq"), F.array_join("need", " ")).limit(most).collect()
     kept: dict[frozenset[str], tuple[str, float]] = {}
@@ -137,15 +190,15 @@ def url_filter(pages: DataFrame, rules=RULES, support: float = SUPPORT, confiden
     parsed = pages.select("page_id", url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     told = parsed.withColumn("rule", rule).withColumn("given", verdict).withColumn("tokens", tokens_of(F.col("url"), F.col("host"), F.col("path")))
-    weak = F.when(F.arrays_overlap(host_words(F.col("host")), F.lit(list(seed_words))), F.lit("block"))
-    mined = mine(told.select("tokens", F.coalesce("given", weak).alias("verdict")), support, confidence)
+    told = told.withColumn("weak", F.when(F.arrays_overlap(host_words(F.col("host")), F.lit(list(seed_words))), F.lit("block")))
+    mined = mine(told.select("tokens", F.coalesce("given", "weak").alias("verdict")), support, confidence)
     shared = pages.sparkSession.sparkContext.broadcast(mined)
 
     @F.arrow_udf("double")
-    def judge(tokens: pa.Array) -> pa.Array:
-        return pa.array([shared.value.judge(t) for t in tokens.to_pylist()], pa.float64())
+    def judge(tokens: pa.Array, weak: pa.Array) -> pa.Array:
+        return pa.array([shared.value.judge(t, w) for t, w in zip(tokens.to_pylist(), weak.to_pylist(), strict=True)], pa.float64())
 
-    scored = told.withColumn("mined", judge("tokens"))
+    scored = told.withColumn("mined", judge("tokens", "weak"))
     score = F.when(F.col("given").isNull(), F.col("mined")).otherwise((F.col("given") == "block").cast("double"))
     return scored.withColumn("score", score).select("page_id", "host", "path", "rule", F.when(F.col("score") >= BLOCK, "block").otherwise("allow").alias("verdict"), "score")
 

@@ -274,3 +274,32 @@ def test_url_rules(spark):
     rules = urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), support=0.02)
     assert rules.judge(["b"]) == 1.0 and rules.judge(["a", "c"]) == 0.0 and rules.judge(["a"]) == 0.0 and rules.judge([]) == 0.0 and rules.judge(None) == 0.0
     assert all(not (x < y and a == b) for (x, a), (y, b) in itertools.permutations(rules.rules, 2))
+
+
+def test_urls_are_not_cut(spark):
+    """Signals in late parts, keys and host labels, and seed words of hosts without hyphens."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        bad = i % 2 == 0
+        deep = "/de/b/c/offer" if bad else "/fr/b/c/story"
+        rows.append((i, f"http://x{i}.site.com{deep}/{rng.integers(99)}?k=1&l=2&{'promo' if bad else 'm'}=3", None))
+    rows += [(1000, "http://x.other.net/zz/b/c/offer/7?k=1&l=2&promo=4", "block"), (1001, "http://x.other.net/zz/b/c/story/7?k=1&l=2&m=4", "allow")]
+    rows += [(1002, "http://casino.other.net/q", "block"), (1003, "http://pills.shop.net/", "block"), (1004, "http://a.b.c.bets.other.net/z", "block")]
+    out = {r.page_id: r.verdict for r in urls.url_filter(spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")).collect()}
+    assert [out[i] for i, _, v in rows if v] == [v for *_, v in rows if v]
+
+
+def test_itemsets(spark):
+    """Against brute force over all sets of at most three tokens."""
+    rng = np.random.default_rng(6)
+    rows = [([f"t{k}" for k in range(12) if rng.random() < 0.4], [None, "allow", "block"][int(rng.integers(3))]) for _ in range(200)]
+    found = {tuple(r.need): (r["all"], r.allow, r.block) for r in urls.itemsets(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.1, 3).collect()}
+    least = [int(np.ceil(0.1 * sum(v == x for _, v in rows))) for x in urls.VERDICTS]
+    told = {}
+    for k in (1, 2, 3):
+        for need in itertools.combinations(sorted(f"t{i}" for i in range(12)), k):
+            has = [v for own, v in rows if set(need) <= set(own)]
+            if has.count("allow") >= least[0] or has.count("block") >= least[1]:
+                told[need] = len(has), has.count("allow"), has.count("block")
+    assert found == told
