@@ -9,7 +9,7 @@ Tokens of a url: scheme, all labels of the host from the right with their depth
 with their depth, the shape of every part (digits, letters, mixed), extension, all keys of the query. No url is cut. Itemsets have at
 most `LONGEST` tokens, and support counts within the urls of a verdict, so that a rare verdict has rules too, and is `FEWEST` urls at least. Patterns are grown from
 the end of each frequent token's prefixes, a task for a token; the driver holds frequent tokens, at most tokens of a url / support for
-each verdict, and the kept rules, at most `MOST_RULES` by confidence and support.
+each verdict, and all rules that no shorter one implies.
 
 Defined cases: a null url or one without :// has empty host and path, and the method judges its (empty) tokens, which is the default
 verdict. Without any labelled url there are no mined rules and all other urls get the default. Repeated rows each get a row; a null
@@ -33,7 +33,7 @@ from .common import load, materialise
 #: (verdict, host, path)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 DEFAULT, BLOCK = "allow", 0.5
-SUPPORT, FEWEST, CONFIDENCE, LONGEST, MOST_RULES = 0.005, 5, 0.6, 4, 20_000
+SUPPORT, FEWEST, CONFIDENCE, LONGEST = 0.005, 5, 0.6, 4
 #: Host words that weakly label a url as one to block.
 SEED_WORDS = ("casino", "bets", "poker", "pills", "adult", "porn", "xxx", "spam", "malware", "phishing", "ads")
 VERDICTS = ("allow", "block")
@@ -155,23 +155,21 @@ def itemsets(urls: DataFrame, support: float, longest: int) -> DataFrame:
     return heads.groupBy("item").applyInPandas(work, schema)
 
 
-def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, most: int = MOST_RULES, longest: int = LONGEST) -> Rules:
+def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, longest: int = LONGEST) -> Rules:
     """Rules from columns tokens and verdict (null: no label)."""
     sets = materialise(itemsets(urls, support, longest), "itemsets", small=True)
     sides = F.explode(F.array(*[F.struct(F.lit(v).alias("verdict"), F.col(v).alias("freq"), F.col(f"{v}_least").alias("least")) for v in VERDICTS]))
     rules = sets.select("need", "all", sides.alias("side")).select("need", "side.*", (F.col("side.freq") / F.col("all")).alias("confidence"))
     rules = rules.where((F.col("freq") >= F.col("least")) & (F.col("confidence") >= confidence)).drop("least")
-    # the best by confidence and support, a bounded number; ties by name
-    rows = rules.orderBy(F.desc("confidence"), F.size("need"), F.desc("freq"), F.array_join("need", " ")).limit(most).collect()
-    kept: dict[frozenset[str], tuple[str, float]] = {}
-    by_size = sorted(rows, key=lambda r: (len(r["need"]), r["need"]))
-    rest: dict[str, list[frozenset[str]]] = defaultdict(list)
-    for r in by_size:
-        need = frozenset(r["need"])
-        implied = any(s <= need and kept[s][0] == r["verdict"] and kept[s][1] >= r["confidence"] for t in need for s in rest[t])
-        if not implied:
-            kept[need] = (r["verdict"], r["confidence"])
-            rest[min(need)].append(need)
+    # a rule with a part that is as sure of the same verdict is implied; rows of at most 2 ** longest parts a rule
+    masks = F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("need")) - 2).cast("int"))
+    parts = F.transform(masks, lambda m: F.filter("need", lambda t, i: F.getbit(m, i) == 1))
+    rules = materialise(rules, "rules", small=True)
+    shorter = rules.select(F.col("need").alias("part"), F.col("verdict").alias("of_verdict"), F.col("confidence").alias("surer"))
+    split = rules.where(F.size("need") > 1).select("need", "verdict", "confidence", F.explode(parts).alias("of"))
+    implied = split.join(shorter, (F.col("of") == F.col("part")) & (F.col("verdict") == F.col("of_verdict")) & (F.col("surer") >= F.col("confidence")))
+    rows = rules.join(implied.select("need", "verdict").distinct(), ["need", "verdict"], "left_anti").collect()
+    kept = {frozenset(r["need"]): (r["verdict"], r["confidence"]) for r in rows}
     spread: dict[str, int] = defaultdict(int)
     for need in kept:
         for t in need:

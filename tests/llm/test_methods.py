@@ -303,3 +303,11 @@ def test_itemsets(spark):
             if has.count("allow") >= least[0] or has.count("block") >= least[1]:
                 told[need] = len(has), has.count("allow"), has.count("block")
     assert found == told
+
+
+def test_implied_rules_push_none_out(spark):
+    """One pattern of 40 tokens has more sets of confidence 1 than 20,000; a rule of 0.75 stays, and only what no shorter rule implies."""
+    many = [f"a{i}" for i in range(40)]
+    rows = [(many, "block")] * 30 + [(["b"], "block")] * 30 + [(["b"], "allow")] * 10
+    rules = urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"))
+    assert rules.judge(["b"]) == 0.75 and sorted(map(sorted, (need for need, _ in rules.rules))) == sorted([[x] for x in [*many, "b"]])
