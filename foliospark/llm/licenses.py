@@ -168,7 +168,7 @@ def scan(raw: bytes | None, finder: ahocorasick.Automaton) -> tuple:
             text = found.decode("utf-8", "replace").strip()
             verdict = evaluate(text)
             if verdict.labels:
-                expressions.append(text[:200])
+                expressions.append(text)
                 labels.update(verdict.labels)
                 evidence.update((x, TAG_WEIGHT) for x in verdict.labels)
             if verdict.obligation is not None:

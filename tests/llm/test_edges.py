@@ -73,6 +73,11 @@ def test_tags(spark):
     assert r.base_labels == "mit" and set(r.labels.split(",")) == {"mit", "apache-2.0"} and r.obligation == 0 and r.expressions == ["mit or apache-2.0"] and r.n_base == 3
 
 
+def test_long_expressions_stay_whole():
+    due = " or ".join(f"mit-{i}" for i in range(90))
+    assert licenses.scan(f"SPDX-License-Identifier: {due}\n".encode(), licenses.automaton())[7] == [due]
+
+
 def test_simhash(spark, docs, none):
     out = simhash.near_duplicates(docs).collect()
     by = {r.doc_id: r for r in out}
