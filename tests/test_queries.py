@@ -39,3 +39,10 @@ def test_query(spark, duck, name):
     assert sorted(found.columns) == sorted(told.columns)
     assert plain(found) == plain(told)
     assert len(found)
+
+
+def test_pages_are_counted_from_the_text(spark, tmp_path):
+    rows = [(3, "x" * 450, None), (4, "x" * 450, 7), (5, None, 900), (6, "é" * 250, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r.page_count for r in queries._files(spark, str(tmp_path)).collect()}
+    assert found == {3: 5, 4: 5, 5: None, 6: 3}
