@@ -85,9 +85,23 @@ def test_simhash(spark, docs, none):
     assert by[None].component_id is None
     left = simhash.drop_near_duplicates(docs)
     assert left.columns == docs.columns and sorted(r.doc_id or 0 for r in left.select("doc_id").collect()) == [0, 1, 4, 6, 7, 8, 9]
+    mapped = docs.withColumn("m", F.create_map(F.lit("a"), F.col("doc_id"))).withColumn("dotted.name", F.lit(1))
+    assert simhash.drop_near_duplicates(mapped).columns == mapped.columns and simhash.drop_near_duplicates(mapped).count() == 7
     assert simhash.near_duplicates(none).count() == 0 and simhash.drop_near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_of_odd_ids(spark):
+    """Ids at the ends of the range, ids that two texts share, rows without id, and repeated rows that differ in another column."""
+    text = "one two three four five six seven eight"
+    big = (1 << 63) - 1
+    rows = [(big, text, "a"), (big - 1, text, "b"), (-(1 << 63), "quite another text with its own words here", "c"), (7, text + " nine", "d"), (7, "a second text of seven without any kin", "e"), (None, "nobody names this text of a few words", "g"), (None, "nobody names this text of a few words", "f"), (None, text, "h"), (9, "repeated row of the ninth of all texts", "y"), (9, "repeated row of the ninth of all texts", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(df, simhash.NEAR).collect()}
+    assert found == {(big, 7), (big - 1, 7), (None, 7), (-(1 << 63), -(1 << 63)), (7, 7), (None, None), (9, 9)}
+    left = sorted((str(r.doc_id), r.source) for r in simhash.drop_near_duplicates(df).collect())
+    assert left == sorted([("-9223372036854775808", "c"), ("7", "d"), ("7", "e"), ("None", "f"), ("9", "x")])
+
+
 def test_language(docs, none):
     model = langid.train(docs)
     by = {r.doc_id: r for r in langid.identify(docs, model, ["doc_id"]).collect()}

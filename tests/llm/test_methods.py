@@ -48,18 +48,19 @@ def told_forest(fp: np.ndarray, near) -> np.ndarray:
 
 @pytest.mark.parametrize("spread", [64, 14, 6])
 def test_trie_join(spread):
+    """Two tasks side by side, against all pairs of each."""
     rng = np.random.default_rng(spread)
     base = rng.integers(0, 1 << 63, 40, np.uint64)
     a = np.sort(np.concatenate([base, base, *(base ^ (np.uint64(1) << rng.integers(0, spread, 40).astype(np.uint64)) for _ in range(6)), rng.integers(0, 1 << spread if spread < 63 else 1 << 63, 500, np.uint64)]))
     b = np.sort(np.concatenate([a[::3] ^ np.uint64(1), rng.integers(0, 1 << 63, 300, np.uint64)]))
-    for right in (None, b):
-        both = a if right is None else np.concatenate([a, right])
-        found = simhash.TrieJoin(a, right, 64, 2, lambda i, j: np.zeros(len(i), int), 0).run().parent
-        told = simhash.Forest(len(both))
-        for i in range(len(a)):
-            j = np.flatnonzero(np.bitwise_count(a[i] ^ (a if right is None else right)) <= 2) + (0 if right is None else len(a))
-            told.add(np.full(len(j), i), j)
-        assert np.array_equal(found, told.parent)
+    both = np.concatenate([a, b])
+    found = simhash.TrieJoin(both, np.array([0, len(a)]), 64, 2, lambda i, j: np.zeros(len(i), int), 0).run().parent
+    told = simhash.Forest(len(both))
+    for first, some in ((0, a), (len(a), b)):
+        for i in range(len(some)):
+            j = np.flatnonzero(np.bitwise_count(some[i] ^ some) <= 2) + first
+            told.add(np.full(len(j), first + i), j)
+    assert np.array_equal(found, told.parent)
 
 
 def test_query_writes_shards(spark, tmp_path, monkeypatch):
@@ -95,26 +96,38 @@ def test_trie_join_of_a_dense_group(copies):
         calls.append(len(i))
         return np.where(group[i] == group[j], 0, 100)
 
-    found = simhash.TrieJoin(value, None, 32, 3, distance, 65).run().parent
+    found = simhash.TrieJoin(value, np.zeros(1, int), 32, 3, distance, 65).run().parent
     assert np.array_equal(found, np.array([np.flatnonzero(group == g)[0] for g in group]))
     # ten pairs of leaves, forty strangers in all
     assert copies < 1000 or sum(calls) < 10 * 40 * len(group)
 
 
-def test_nodes_cover_all(spark):
+@pytest.mark.parametrize("hot", [simhash.HOT, 50])
+def test_links_lose_none(spark, hot):
+    """Pairs within 2 errors in any three blocks of bits, with and without crowded nodes."""
     rng = np.random.default_rng(3)
-    fp = np.unique(np.concatenate([rng.integers(0, 1 << 63, 300, np.uint64), np.arange(400, dtype=np.uint64), np.uint64(1 << 63) + np.arange(300, dtype=np.uint64)]))
+    base = rng.integers(0, 1 << 63, 300, np.uint64)
+    near = [base ^ (np.uint64(1) << np.uint64(x)) ^ (np.uint64(1) << np.uint64(y)) for x, y in rng.integers(0, 64, (4, 2))]
+    fp = np.unique(np.concatenate([base, *near, np.arange(400, dtype=np.uint64), np.uint64(1 << 63) + np.arange(300, dtype=np.uint64)]))
     table = spark.createDataFrame([(bytearray(int(x).to_bytes(8, "big")), i) for i, x in enumerate(fp.tolist())], "fp binary, node long")
-    small = dataclasses.replace(simhash.CONTRACT, leaf=50)
-    nodes = simhash.cut(table, len(fp), small)
-    held = [sum(x >> (64 - d) == p if d else True for x in fp.tolist()) for p, d in nodes]
-    assert sum(held) == len(fp) and max(held) <= 50
     forest = simhash.Forest(len(fp))
-    for u, v in simhash.links(table, small).collect():
+    for u, v in simhash.links(table, hot=hot).collect():
         forest.add(np.array([u]), np.array([v]))
     assert np.array_equal(forest.parent, told_forest(fp, lambda x, y: np.bitwise_count(x ^ y) <= 2))
 
 
+@pytest.mark.parametrize("total", [1, 256_000, 15_000_000])
+def test_tries_meet_pairs_at_the_bound(total):
+    """Drawn pairs whose bits differ as those of sets at 0.8 do: the stated share has a node in common and stays within both bit limits."""
+    rng = np.random.default_rng(5)
+    plan = simhash.tries(total, simhash.NEAR)
+    differ = rng.random((20_000, 256)) < simhash.NEAR.share
+    met = np.zeros(len(differ), bool)
+    for order, depth in plan:
+        met |= ~differ[:, order[:depth]].any(1) & (differ[:, order[depth : depth + 64]].sum(1) <= simhash.NEAR.budget)
+    assert (met & (differ.sum(1) <= simhash.NEAR.most)).mean() > 0.985 and total / 2 ** plan[0][1] <= simhash.NEAR.leaf
+
+
 def test_long_fingerprints(spark):
     """Near copies at 0.8 and more are linked, half-alike and foreign texts are not; the same with few and with many nodes."""
     rng = np.random.default_rng(8)
@@ -135,7 +148,7 @@ def test_long_fingerprints(spark):
             family.append(f)
             alike.append(len(shingles(own) & shingles(other)) / len(shingles(own) | shingles(other)))
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
-    for s in (simhash.NEAR, dataclasses.replace(simhash.NEAR, leaf=60)):
+    for s in (simhash.NEAR, dataclasses.replace(simhash.NEAR, leaf=2)):
         found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, s).collect()}
         assert all(family[c] == family[d] for d, c in found.items())
         due = [d for d in found if alike[d] >= 0.8]
