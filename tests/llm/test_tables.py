@@ -31,6 +31,7 @@ def rows(spark, name: str) -> dict:
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_against_sql(spark, duck, name):  # noqa: F811
     found, told = queries.QUERIES[name](spark, SF).toPandas(), duck.sql(queries.ORACLE_SQL[name]).df()
+    assert len(found) == len(told)
     assert sorted(found.columns) == sorted(told.columns)
     assert plain(found) == plain(told)
 
@@ -136,6 +137,21 @@ def test_op9(spark, docs):
     assert np.mean([found[d].predicted == q for d, q in labels if d in found]) > 0.9
 
 
+def test_op10_places_follow_the_curriculum(spark, docs):
+    """Places number the taken copies in order of position, and the sources' shares move along the run as their schedules say."""
+    out = queries.QUERIES["op10_mix_sources"](spark, SF).collect()
+    copies = [(r.first_place, r.first_position, r.doc_id, r.size) for r in out if r.taken or r.first_place is not None]
+    copies += [(r.last_place, r.last_position, r.doc_id, r.size) for r in out if r.last_place not in (None, r.first_place)]
+    copies.sort()
+    assert [c[0] for c in copies] == list(range(len(copies))) and [c[1] for c in copies] == sorted(c[1] for c in copies)
+    names = sorted({docs[c[2]][2] for c in copies}, key=lambda x: (x is None, x or ""))
+    for i, name in enumerate(names):
+        words = [sum(n for _, t, d, n in copies if docs[d][2] == name and lo <= t < lo + 0.5) for lo in (0.0, 0.5)]
+        ramp = [(1.25, 0.75), (1.0, 1.0), (0.75, 1.25)][i % 3]
+        most = max(n for _, _, d, n in copies if docs[d][2] == name)
+        assert abs(words[0] * ramp[1] - words[1] * ramp[0]) <= 2 * most * max(ramp)
+
+
 def test_op10_nears_targets(spark):
     out = queries.QUERIES["op10_mix_sources"](spark, SF).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.max("size").alias("most"), F.max(F.expr("taken - 2 * size")).alias("over")).collect()
     assert all(abs(r.taken - r.target) <= r.most and r.over <= 0 for r in out)
