@@ -5,15 +5,19 @@ permutation with cycle-walking gives each of the N sequences a slot of its own i
 `shard_records` slots; a shard holds its records in slot order, each of the same stride, so the record of a slot is found by
 arithmetic and a run resumes at any slot.
 
-Record: doc_id (8 bytes), sequence number (4), count of ids (4), the ids (2 or 4 bytes each by vocabulary size, the rest filled with
+Order. With `windows` = 1 the permutation goes over all sequences. With more, the sequences keep the order of the documents by and
+large: they are numbered in the order of the documents' files, the run is cut into that many windows of consecutive numbers, and the
+permutation acts within each. So a curriculum that the documents were sorted by survives, up to a window.
+
+Record: doc_id (8 bytes), sequence number (4), count of ids (4; negative where the document has no doc_id), the ids (2 or 4 bytes each by vocabulary size, the rest filled with
 the end-of-text id), all little-endian. Shard files of `write_shards` add one line feed to each record. The query and the pipeline's
 last stage write the shards to the shared folder and return the rows that `read_shards` finds there.
 
-Tokenised sequences are written once to the shared folder; the table of counts by partition, a row for each partition, gives every
-sequence its number. The tokenizer's ranks are a file of fixed size, read by the driver and broadcast.
+Tokenised sequences are written once to the shared folder; the table of counts by run of rows, a row for each split of a file, gives
+every sequence its number. The tokenizer's ranks are a file of fixed size, read by the driver and broadcast.
 
-Defined cases: a null or empty text is one sequence with the end-of-text id alone; a null doc_id is written as -1; repeated rows
-are sequences of their own; an empty table gives no records. Extra columns are ignored.
+Defined cases: a null or empty text is one sequence with the end-of-text id alone; a null doc_id is null again when
+it is read; repeated rows are sequences of their own; an empty table gives no records. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,17 +41,19 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the byte-level vocabulary splits a text before merging (a fixed value of that vocabulary).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LENGTH, SHARD_RECORDS, KEY, ROUNDS = 1024, 8192, 20_250_101, 6
+#: Windows of a run that keeps the documents' order; a table of runs with at most MOST_BROADCAST rows is broadcast.
+WINDOWS, MOST_BROADCAST = 64, 100_000
 HEADER = 16
 
 
 class Feistel:
     """A keyed permutation of 0..n-1: balanced rounds over the next power of four, walking on while outside."""
 
-    def __init__(self, n: int, key: int = KEY, rounds: int = ROUNDS) -> None:
+    def __init__(self, n: int, key: int | tuple[int, ...] = KEY, rounds: int = ROUNDS) -> None:
         self.n = n
         self.half = np.uint64(max(1, (max(n - 1, 1).bit_length() + 1) // 2))
         self.mask = (np.uint64(1) << self.half) - np.uint64(1)
-        self.keys = np.random.default_rng((key, 17)).integers(0, 1 << 63, rounds, np.uint64)
+        self.keys = np.random.default_rng((*(key if isinstance(key, tuple) else (key,)), 17)).integers(0, 1 << 63, rounds, np.uint64)
 
     def _mix(self, x: np.ndarray, key: np.uint64) -> np.ndarray:
         x = (x + key) * np.uint64(0x9E3779B97F4A7C15)
@@ -79,6 +86,29 @@ class Feistel:
         return self._walk(slot, self._back)
 
 
+class Windows:
+    """Permutations of 0..n-1 within windows of consecutive numbers, which are all of one size but the last."""
+
+    def __init__(self, n: int, windows: int = 1, key: int = KEY) -> None:
+        self.n, self.size, self.key = n, max(1, -(-n // windows)), key
+
+    def _each(self, x: np.ndarray, to: str) -> np.ndarray:
+        x = np.asarray(x).astype(np.int64)
+        window = x // self.size
+        out = np.empty_like(x)
+        for w in np.unique(window).tolist():
+            own, start = window == w, w * self.size
+            feistel = Feistel(min(self.size, self.n - start), (self.key, w) if w else self.key)
+            out[own] = getattr(feistel, to)(x[own] - start) + start
+        return out
+
+    def slot(self, number: np.ndarray) -> np.ndarray:
+        return self._each(number, "slot")
+
+    def number(self, slot: np.ndarray) -> np.ndarray:
+        return self._each(slot, "number")
+
+
 @dataclass
 class Vocabulary:
     ranks: dict[bytes, int]
@@ -104,54 +134,68 @@ def vocabulary(path: str = TOKENIZER) -> Vocabulary:
         return Vocabulary({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
 
 
+def in_files(docs: DataFrame) -> DataFrame:
+    """(file, row, doc_id, text): the number of the file that a row stands in and its place there; documents that are in no files are written first."""
+    shown = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    try:
+        meta = docs.metadataColumn("_metadata")
+        part = F.regexp_extract(meta["file_name"], r"part-([0-9]+)", 1).cast("long")
+        return docs.select(F.coalesce(part, F.lit(0)).alias("file"), meta["row_index"].alias("row"), *shown)
+    except AnalysisException:
+        return in_files(materialise(docs.select(*shown), "documents"))
+
+
 def sequences(docs: DataFrame, vocab: Vocabulary, length: int = LENGTH) -> DataFrame:
-    """(part, pos, doc_id, seq_no, n_tokens, record): records without their filling. pos counts the sequences of a partition."""
+    """(part, file, row, pos, doc_id, seq_no, n_tokens, record): records without their filling. pos counts the sequences of a run, that is, of consecutive rows of a file in one task, from row `row` on."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
     kind = f"<u{vocab.width}"
-    types = {"part": pa.int32(), "pos": pa.int64(), "doc_id": pa.int64(), "seq_no": pa.int32(), "n_tokens": pa.int32(), "record": pa.binary()}
+    types = {"part": pa.int32(), "file": pa.int64(), "row": pa.int64(), "pos": pa.int64(), "doc_id": pa.int64(), "seq_no": pa.int32(), "n_tokens": pa.int32(), "record": pa.binary()}
 
     def make():
         encode, end = shared.value.encoding().encode_ordinary, shared.value.end
-        part, pos = TaskContext.get().partitionId(), 0
+        part = TaskContext.get().partitionId()
+        run, after, pos = (None, None), None, 0
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            nonlocal pos
-            ids, numbers, sizes, records = [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            nonlocal run, after, pos
+            out: list[tuple] = []
+            for file, row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (file, row) != after:
+                    run, pos = (file, row), 0
+                after = file, row + 1
                 tokens = np.array(encode(text or "") + [end], kind)
                 for k, lo in enumerate(range(0, len(tokens), length)):
                     some = tokens[lo : lo + length]
-                    ids.append(doc_id)
-                    numbers.append(k)
-                    sizes.append(len(some))
-                    records.append(struct.pack("<qii", -1 if doc_id is None else doc_id, k, len(some)) + some.tobytes())
-            rows = len(ids)
-            columns = [np.full(rows, part, np.int32), np.arange(pos, pos + rows), ids, numbers, sizes, records]
-            pos += rows
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
+                    out.append((part, *run, pos, doc_id, k, len(some), struct.pack("<qii", doc_id or 0, k, len(some) if doc_id is not None else -len(some)) + some.tobytes()))
+                    pos += 1
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types.values(), strict=True)], names=list(types))
 
         return work
 
-    schema = "part int, pos long, doc_id long, seq_no int, n_tokens int, record binary"
-    return over_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), schema, make)
+    schema = "part int, file long, row long, pos long, doc_id long, seq_no int, n_tokens int, record binary"
+    return over_arrow(in_files(docs), schema, make)
 
 
-def token_records(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH, shard_records: int = SHARD_RECORDS, key: int = KEY) -> DataFrame:
+def token_records(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH, shard_records: int = SHARD_RECORDS, key: int = KEY, windows: int = 1) -> DataFrame:
     """(shard, slot, doc_id, seq_no, n_tokens, record) of full stride, a partition for each shard, in slot order."""
     spark = docs.sparkSession
     vocab = vocabulary(path)
     table = materialise(sequences(docs, vocab, length), "sequences")
-    counts = [(r[0], r[1]) for r in table.groupBy("part").count().orderBy("part").collect()]
-    total = sum(n for _, n in counts)
-    starts = np.cumsum([0, *(n for _, n in counts)]).tolist()
-    offsets = F.broadcast(spark.createDataFrame([(p, s) for (p, _), s in zip(counts, starts, strict=False)], "of_part int, start long"))
-    shuffle = Feistel(max(total, 1), key)
+    runs = sorted(tuple(r) for r in table.groupBy("file", "row", "part").count().collect())
+    starts, total = [], 0
+    for file, row, part, n in runs:
+        starts.append((file, row, part, total))
+        total += n
+    offsets = spark.createDataFrame(starts, "of_file long, of_row long, of_part int, start long")
+    offsets = F.broadcast(offsets) if len(starts) <= MOST_BROADCAST else offsets
+    shuffle = Windows(max(total, 1), windows, key)
 
     @F.pandas_udf("long")
     def slot(number: pd.Series) -> pd.Series:
         return pd.Series(shuffle.slot(number.to_numpy()))
 
-    placed = table.join(offsets, F.col("part") == F.col("of_part")).withColumn("slot", slot(F.col("start") + F.col("pos")))
+    same = (F.col("file") == F.col("of_file")) & (F.col("row") == F.col("of_row")) & (F.col("part") == F.col("of_part"))
+    placed = table.join(offsets, same).withColumn("slot", slot(F.col("start") + F.col("pos")))
     shards = max(1, -(-total // shard_records))
     dealt = placed.withColumn("shard", F.floor(F.col("slot") / shard_records).cast("int")).select("shard", "slot", "doc_id", "seq_no", "n_tokens", "record")
     fill = F.lit(vocab.end.to_bytes(vocab.width, "little"))
@@ -164,24 +208,47 @@ def write_shards(records: DataFrame, path: str) -> None:
     records.select(F.col("record").cast("string").alias("value"), "shard").write.option("lineSep", "\n").partitionBy("shard").text(path)
 
 
-def read_slots(spark: SparkSession, path: str, start: int = 0, length: int = LENGTH, width: int = 2, shard_records: int = SHARD_RECORDS) -> Iterator[tuple[int, int, int, np.ndarray]]:
-    """(slot, doc_id, seq_no, ids) from slot `start` on, shard after shard: a training run's sequential, resumable read."""
+def _shard_file(spark: SparkSession, path: str, shard: int):
+    """(file system, path of its one file) of a shard, of which only the folder is listed; None behind the last."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    (found,) = (x.getPath() for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-"))
+    return fs, found
+
+
+def _open(fs, file, at: int):
+    stream = fs.open(file)
+    stream.seek(at)
+    return stream
+
+
+def read_slots(spark: SparkSession, path: str, start: int = 0, length: int = LENGTH, width: int = 2, shard_records: int = SHARD_RECORDS, block: int = 512) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
+    """(slot, doc_id, seq_no, ids) from slot `start` on: a training run's sequential, resumable read.
+
+    A shard's file is opened when it is reached, at the byte that the slot's number gives; `block` records are held at a time.
+    """
     stride = HEADER + length * width + 1
     shard, skip = divmod(start, shard_records)
-    while True:
-        rows = spark.read.format("binaryFile").load(path).where(F.col("path").contains(f"/shard={shard}/")).select("content").collect()
-        if not rows:
-            return
-        (content,) = (bytes(r[0]) for r in rows)
-        for k in range(skip, len(content) // stride):
-            record = content[k * stride : (k + 1) * stride]
-            doc_id, seq_no, n = struct.unpack("<qii", record[:HEADER])
-            yield shard * shard_records + k, doc_id, seq_no, np.frombuffer(record, f"<u{width}", n, HEADER)
+    while found := _shard_file(spark, path, shard):
+        stream = _open(*found, skip * stride)
+        try:
+            slot = shard * shard_records + skip
+            while content := bytes(stream.readNBytes(block * stride)):
+                for k in range(len(content) // stride):
+                    record = content[k * stride : (k + 1) * stride]
+                    doc_id, seq_no, n = struct.unpack("<qii", record[:HEADER])
+                    yield slot + k, None if n < 0 else doc_id, seq_no, np.frombuffer(record, f"<u{width}", abs(n), HEADER)
+                slot += len(content) // stride
+        finally:
+            stream.close()
         shard, skip = shard + 1, 0
 
 
 def read_shards(spark: SparkSession, path: str, length: int = LENGTH, width: int = 2, shard_records: int = SHARD_RECORDS) -> DataFrame:
-    """(shard, slot, doc_id, seq_no, n_tokens, record) of all shard files, each file's in slot order; id -1 is null again."""
+    """(shard, slot, doc_id, seq_no, n_tokens, record) of all shard files, each file's in slot order."""
     body = HEADER + length * width
     stride = body + 1
     fields = np.dtype([("doc_id", "<i8"), ("seq_no", "<i4"), ("n_tokens", "<i4"), ("ids", f"V{length * width}"), ("feed", "V1")])
@@ -199,9 +266,9 @@ def read_shards(spark: SparkSession, path: str, length: int = LENGTH, width: int
                     head = np.frombuffer(part, fields)
                     n, raw = len(head), part.to_pybytes()
                     records = [raw[k * stride : k * stride + body] for k in range(n)]
-                    ids = pa.array(head["doc_id"], pa.int64(), mask=head["doc_id"] == -1)
+                    ids = pa.array(head["doc_id"], pa.int64(), mask=head["n_tokens"] < 0)
                     slots = shard * shard_records + np.arange(lo, lo + n)
-                    columns = [np.full(n, shard, np.int32), slots, ids, np.ascontiguousarray(head["seq_no"]), np.ascontiguousarray(head["n_tokens"]), records]
+                    columns = [np.full(n, shard, np.int32), slots, ids, np.ascontiguousarray(head["seq_no"]), np.abs(head["n_tokens"]), records]
                     yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types, strict=True)], names=names)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
@@ -209,10 +276,10 @@ def read_shards(spark: SparkSession, path: str, length: int = LENGTH, width: int
     return files.select(shard.alias("shard"), "content").mapInArrow(work, "shard int, slot long, doc_id long, seq_no int, n_tokens int, record binary")
 
 
-def token_shards(docs: DataFrame, path: str | None = None) -> DataFrame:
+def token_shards(docs: DataFrame, path: str | None = None, windows: int = 1) -> DataFrame:
     """Writes the shards of documents, to a new folder of the shared one if no path is given, and returns the rows read back."""
     path = path or scratch_path(docs.sparkSession, "shards")
-    write_shards(token_records(docs), path)
+    write_shards(token_records(docs, windows=windows), path)
     return read_shards(docs.sparkSession, path, width=vocabulary().width)
 
 

@@ -7,6 +7,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foliospark.llm import decontaminate as D
 from foliospark.llm import langid, quality, simhash, tokens, urls
@@ -21,7 +22,30 @@ def test_feistel():
     assert not np.array_equal(tokens.Feistel(1000, 1).slot(np.arange(1000)), tokens.Feistel(1000, 2).slot(np.arange(1000)))
 
 
-def test_shards_round_trip(spark, tmp_path):
+def test_windows_keep_the_order():
+    for n, windows in ((1, 64), (63, 64), (64, 64), (1000, 64), (1000, 7), (1000, 1)):
+        w = tokens.Windows(n, windows, key=5)
+        s = w.slot(np.arange(n))
+        assert sorted(s.tolist()) == list(range(n)) and (w.number(s) == np.arange(n)).all() and np.abs(s - np.arange(n)).max() < -(-n // windows)
+    assert np.array_equal(tokens.Windows(1000, 1, 5).slot(np.arange(1000)), tokens.Feistel(1000, 5).slot(np.arange(1000)))
+
+
+def test_slots_follow_the_files(spark, tmp_path):
+    """Files of several row groups and splits, read in any order: the sequences keep the files' order up to a window."""
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 40).cast("int")).alias("text"))
+    docs.repartitionByRange(6, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "d"))
+    conf = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows = tokens.token_records(spark.read.parquet(str(tmp_path / "d")), length=16, windows=64).select("slot", "doc_id", "seq_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", conf)
+    due = {(r.doc_id, r.seq_no): i for i, r in enumerate(sorted(rows, key=lambda r: (r.doc_id, r.seq_no)))}
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    assert max(abs(r.slot - due[r.doc_id, r.seq_no]) for r in rows) < -(-len(rows) // 64)
+
+
+def test_shards_round_trip(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, f"text {i} with some\nwords é " * (i % 7)) for i in range(60)], "doc_id long, text string")
     records = tokens.token_records(docs, length=16, shard_records=25)
     tokens.write_shards(records, str(tmp_path / "shards"))
@@ -35,7 +59,11 @@ def test_shards_round_trip(spark, tmp_path):
     for r in docs.collect():
         ids = np.concatenate([got[r.doc_id][k] for k in sorted(got[r.doc_id])]).tolist()
         assert ids[-1] == vocab.end and vocab.encoding().decode(ids[:-1]) == r.text
-    assert [s for s, *_ in itertools.islice(tokens.read_slots(spark, str(tmp_path / "shards"), 30, 16, 2, 25), 3)] == [30, 31, 32]
+    opened = []
+    monkeypatch.setattr(tokens, "_open", lambda fs, file, at, real=tokens._open: opened.append((file.toString(), at)) or real(fs, file, at))
+    read = tokens.read_slots(spark, str(tmp_path / "shards"), 30, 16, 2, 25, block=2)
+    assert [s for s, *_ in itertools.islice(read, 5)] == [30, 31, 32, 33, 34] and len(opened) == 1 and "shard=1/" in opened[0][0] and opened[0][1] == 5 * 49
+    assert [s for s, *_ in tokens.read_slots(spark, str(tmp_path / "shards"), len(slots), 16, 2, 25)] == []
 
 
 def told_forest(fp: np.ndarray, near) -> np.ndarray:
@@ -67,14 +95,19 @@ def test_query_writes_shards(spark, tmp_path, monkeypatch):
     """The query and the last stage commit shards and return what stands in them."""
     import corpus_pipeline
 
-    docs = spark.createDataFrame([(i or None, f"text {i} with some\nwords é " * (300 * (i % 3))) for i in range(12)], "doc_id long, text string")
+    docs = spark.createDataFrame([(i - 1 if i else None, f"text {i} with some\nwords é " * (300 * (i % 3))) for i in range(12)], "doc_id long, text string")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
+    vocab, told = tokens.vocabulary(), {}
+    for r in docs.collect():  # the rows of the query by hand
+        ids = [*vocab.encoding().encode_ordinary(r.text), vocab.end]
+        told |= {(r.doc_id, k): ids[lo : lo + 1024] for k, lo in enumerate(range(0, len(ids), 1024))}
     for k, call in enumerate((lambda: tokens.op1_token_shards(spark, str(tmp_path)), lambda: corpus_pipeline.token_stage(spark, docs, str(tmp_path)))):
         path = str(tmp_path / f"shards{k}")
         monkeypatch.setattr(tokens, "scratch_path", lambda spark, name, path=path, real=tokens.scratch_path: path if name == "shards" else real(spark, name))
         out = call()
         assert (tmp_path / f"shards{k}" / "_SUCCESS").exists() and len(list((tmp_path / f"shards{k}").glob("shard=*/part-*"))) == 1
         due = {(r.doc_id, r.seq_no, r.n_tokens, bytes(r.record)) for r in tokens.token_records(docs).collect()}
+        assert {(r.doc_id, r.seq_no): list(np.frombuffer(bytes(r.record), "<u2", r.n_tokens, 16)) for r in out.collect()} == told
         found = out.collect()
         assert len(found) == len(due) and {(r.doc_id, r.seq_no, r.n_tokens, bytes(r.record)) for r in found} == due
         assert [r.slot for r in found] == list(range(len(found))) == [s for s, *_ in tokens.read_slots(spark, path)]
