@@ -1,4 +1,8 @@
-"""From documents to training tokens: quality, near-duplicates, benchmark passages, source mix, token records."""
+"""From documents to training tokens: quality, near-duplicates, benchmark passages, source mix, token records.
+
+Every stage keeps null and empty texts, null ids and sources, ties, repeated rows and extra columns of any name, as its operator's module
+states; an empty table gives empty stages. Null and empty texts are one group of near-duplicates, so one of them stays.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from foliospark.llm.decontaminate import drop_contaminated
 from foliospark.llm.mixing import training_order
 from foliospark.llm.quality import keep_good, trained
 from foliospark.llm.simhash import drop_near_duplicates
-from foliospark.llm.tokens import token_shards
+from foliospark.llm.tokens import WINDOWS, token_shards
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +22,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of like fingerprints: that with the smallest doc_id."""
+    """One document of each component of like shingle sets: that with the smallest doc_id."""
     return drop_near_duplicates(docs)
 
 
@@ -33,8 +37,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Fixed-stride token records in permuted slots, written as shards and read back."""
-    return token_shards(docs)
+    """Fixed-stride token records, written as shards and read back. Slots are permuted within windows of the run, so the curriculum's order stays."""
+    return token_shards(docs, windows=WINDOWS)
 
 
 STAGES = [
