@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +37,9 @@ def test_order_minhash(docs, none):
     assert by[4].fingerprint == by[5].fingerprint and by[4].near_next == 1.0 and by[3].near_next == 0.0
     assert order_minhash.order_minhash(none).count() == 0
     assert order_minhash.order_minhash(docs.where("doc_id = 4")).first().near_next == 1.0
+    ends = docs.select(F.lit(-(1 << 63)).alias("doc_id"), "text").where("text = 'word'").limit(1).unionByName(docs.where("doc_id is null or doc_id = 9").select("doc_id", "text"))
+    got = {r.doc_id: r.edited_sha256 for r in order_minhash.order_minhash(ends).collect()}
+    assert got[-(1 << 63)] == hashlib.sha256(b"wort").hexdigest() and got[None] == hashlib.sha256(b"no id here atword").hexdigest()
 
 
 def test_order_minhash_follows_order(spark):

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import dataclasses
 import itertools
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from foliospark.llm import decontaminate as D
-from foliospark.llm import langid, quality, simhash, tokens, urls
+from foliospark.llm import langid, order_minhash, quality, simhash, tokens, urls
 from foliospark.llm.components import components
 
 
@@ -357,3 +359,54 @@ def test_implied_rules_push_none_out(spark):
     rows = [(many, "block")] * 30 + [(["b"], "block")] * 30 + [(["b"], "allow")] * 10
     rules = urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"))
     assert rules.judge(["b"]) == 0.75 and sorted(map(sorted, (need for need, _ in rules.rules))) == sorted([[x] for x in [*many, "b"]])
+
+
+def told_order_minhash(text: str) -> str:
+    """Order MinHash by its definition: for every component all k-mers in the order of its permutation."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+
+    def chain(*values: tuple[str, int]) -> int:
+        seed = 42
+        for kind, v in values:
+            seed = xxhash.xxh64_intdigest(struct.pack("<" + kind, v), seed)
+        return signed(seed)
+
+    words = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in text.lower().split()]
+    runs = [words[i : i + 5] for i in range(len(words) - 4)] or ([words] if words else [])
+    seen: dict[tuple, int] = {}
+    entries = []
+    for place, run in enumerate(runs):
+        o = seen[tuple(run)] = seen.get(tuple(run), -1) + 1
+        entries.append((chain(("q", chain(*(("q", w) for w in run))), ("i", o)) >> 24, place))
+    out = []
+    for c in range(32):
+        def priority(e, c=c):
+            named = (e[0] >> 35) + 16 == c
+            return (not named, e[0] if named else chain(("q", e[0]), ("i", c)) >> 24)
+
+        chosen = sorted(sorted(entries, key=priority)[:2], key=lambda e: e[1])
+        member = [e[0] if (e[0] >> 35) + 16 == c else chain(("q", e[0]), ("i", c)) >> 24 for e in chosen]
+        out.append(f"{chain(*(('q', m & (1 << 40) - 1) for m in member)) & 0xFFFFFFFF:08x}" if chosen else "-" * 8)
+    return "".join(out)
+
+
+def test_order_minhash_by_definition(spark):
+    rng = np.random.default_rng(12)
+    texts = ["", "one", "a b c d", "a b c d e", "a b c d e f", "x " * 40, "p q " * 300]
+    texts += [" ".join(rng.choice([f"w{i}" for i in range(int(v))], int(n))) for n, v in zip(rng.integers(5, 900, 40), rng.choice([3, 50, 4000], 40), strict=True)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.f for r in order_minhash.fingerprint(docs, "text", "f").select("doc_id", "f").collect()}
+    assert found == {i: told_order_minhash(t) for i, t in enumerate(texts)}
+
+
+def test_order_matters_in_short_texts(spark):
+    """A text against its swapped halves: as near as 32 selections from the whole texts say, whatever the length."""
+    rng = np.random.default_rng(13)
+    for n, due in ((20, 0.17), (68, 0.38)):
+        rows = []
+        for i in range(60):
+            w = rng.choice([f"w{k}" for k in range(9999)], n).tolist()
+            rows.append((i, " ".join(w), " ".join(w[n // 2 :] + w[: n // 2])))
+        df = spark.createDataFrame(rows, "doc_id long, a string, b string")
+        prints = order_minhash.fingerprint(order_minhash.fingerprint(df, "a", "x"), "b", "y")
+        assert abs(prints.agg(F.avg(order_minhash.likeness("x", "y"))).first()[0] - due) < 0.05
