@@ -68,10 +68,14 @@ def materialise(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def digest_part(*keys: Column, seed: int = 7) -> Column:
+    """From 0 to below 1 by the keys alone, the same on every run and at every partitioning."""
+    return F.pmod(F.xxhash64(F.lit(seed), *[k.cast("string") for k in keys]), F.lit(1 << 30)).cast("double") / float(1 << 30)
+
+
 def keep_fraction(key: Column, fraction: Column | float, seed: int = 7) -> Column:
     """True for about that fraction of the keys, the same ones on every run and at every partitioning."""
-    part = F.pmod(F.xxhash64(F.lit(seed), key.cast("string")), F.lit(1 << 30)).cast("double") / float(1 << 30)
-    return part < fraction
+    return digest_part(key, seed=seed) < fraction
 
 
 def over_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]]) -> DataFrame:

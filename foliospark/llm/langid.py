@@ -2,14 +2,16 @@
 
 For every language a context tree of order 3 over the bytes of lower-cased UTF-8 is counted, then frozen. A byte's probability is
 that of the longest context seen, with escapes (method C: q symbols seen n times in all leave q / (n + q)) to shorter contexts
-down to a uniform one, and symbols of the longer context excluded in the shorter. The code length of a text is exact: the sum of
--log2 of these over all its bytes. The language with the shortest code wins.
+down to a uniform one over all 256 bytes, and symbols of the longer context excluded in the shorter. The code length of a text is exact:
+the sum of -log2 of these over all its bytes. The language with the shortest code wins.
 
-All contexts of all languages share one table of states (the longest known suffix of the last three bytes), so scoring a byte is
-one lookup of a state and one of a row with a code length for each language.
+A tree is sparse: for each order the (context, byte) pairs seen, with the bits that each costs, and the contexts seen, with the bits of
+their escape. No byte and no context of the sample is left out. A byte that its context has not shown costs the escape and what the next
+shorter context says. Texts are scored by their distinct windows of four bytes, each looked up once in a batch.
 
-Training: documents are kept by a digest of the id, `sample_rows` for each language in expectation (a bounded, documented sample);
-tables keep the `max_states` most frequent contexts. Prediction reads whole texts.
+Training: documents are kept by a digest of id and text, `sample_rows` for each language in expectation (a bounded, documented sample);
+that with the smallest digest is kept in any case, and a text that is kept counts once, however often it is repeated. Trees have a size
+that follows from the sample, about 1 MB for a language. Prediction reads whole texts.
 
 Defined cases: null, empty and letterless texts give `und` with score 0, as does a corpus without training rows. Languages that
 tie go to the smaller name. Null doc_id counts as the empty text in the split. Extra columns are ignored.
@@ -17,42 +19,66 @@ tie go to the smaller name. Null doc_id counts as the empty text in the split. E
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep_fraction, load, over_arrow
+from .common import digest_part, load, over_arrow
 
 ORDER = 3
-SAMPLE_ROWS, MAX_STATES, ALPHABET = 400, 40_000, 128
-_LETTER = re.compile(r"[^\W\d_]")
-_EDGE, _OTHER = 0, 1  # symbols: before the text, and any rare byte
-_WINDOW = 1 << 19
+SAMPLE_ROWS = 400
+#: Bits of a symbol in a window's code: 0 stands before the text, a byte is its value + 1.
+_SYMBOL = 9
+_WINDOW = 1 << 22
 
 
 @dataclass
-class Model:
-    """languages; symbol of a byte; state of three symbols; bits[state * symbols + symbol, language]."""
+class Tree:
+    """By order: codes of (context, byte) ascending and their bits, contexts ascending and the bits of their escapes."""
+
+    codes: list[np.ndarray]
+    bits: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+    def cost(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each window, given those before it."""
+        out = np.zeros(len(grams))
+        left = np.arange(len(grams))
+        for k in range(ORDER, -1, -1):
+            code = grams[left] & ((1 << _SYMBOL * (k + 1)) - 1)
+            at = np.minimum(np.searchsorted(self.codes[k], code), len(self.codes[k]) - 1)
+            shown = self.codes[k][at] == code
+            out[left[shown]] += self.bits[k][at[shown]]
+            left, code = left[~shown], code[~shown] >> _SYMBOL
+            at = np.minimum(np.searchsorted(self.contexts[k], code), len(self.contexts[k]) - 1)
+            known = self.contexts[k][at] == code
+            out[left[known]] += self.escapes[k][at[known]]
+        out[left] += 8
+        return out
+
 
+@dataclass
+class Model:
     languages: list[str]
-    symbol: np.ndarray
-    symbols: int
-    state: np.ndarray
-    bits: np.ndarray
+    trees: list[Tree]
 
 
 def _grams(text: str) -> np.ndarray:
     """Codes of the four-byte windows; a byte is its value + 1, and 0 stands before the text."""
-    b = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8).astype(np.uint64) + np.uint64(1)
-    b = np.concatenate([np.zeros(ORDER, np.uint64), b])
-    out = np.zeros(len(b) - ORDER, np.uint64)
+    return _codes(np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8))
+
+
+def _codes(raw: np.ndarray) -> np.ndarray:
+    b = np.concatenate([np.zeros(ORDER, np.int64), raw.astype(np.int64) + 1])
+    out = np.zeros(len(raw), np.int64)
     for k in range(ORDER + 1):
-        out = out * np.uint64(512) + b[k : len(b) - ORDER + k]
+        out = out << _SYMBOL | b[k : len(b) - ORDER + k]
     return out
 
 
@@ -68,7 +94,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang for lang, g, _ in parts for _ in range(len(g))], pa.string()),
-                    pa.array(np.concatenate([g for _, g, _ in parts]).astype(np.int64)),
+                    pa.array(np.concatenate([g for _, g, _ in parts])),
                     pa.array(np.concatenate([n for *_, n in parts]).astype(np.int64)),
                 ],
                 names=["lang", "gram", "n"],
@@ -79,88 +105,66 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return over_arrow(docs.select("lang", "text"), "lang string, gram long, n long", make).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(grams: list[tuple[str, int, int]], max_states: int = MAX_STATES) -> Model | None:
+def fit(grams: list[tuple[str, int, int]]) -> Model | None:
     """Frozen trees from (lang, gram, n)."""
     if not grams:
         return None
-    languages = sorted({g[0] for g in grams})
-    lang = np.array([languages.index(g[0]) for g in grams])
-    code = np.array([g[1] for g in grams], np.int64)
-    n = np.array([g[2] for g in grams], np.float64)
-    parts = np.stack([(code >> (9 * (ORDER - k))) & 511 for k in range(ORDER + 1)], 1)  # oldest first, 0: before the text
-    # bytes that the sample shows often get symbols of their own
-    common = np.bincount(parts[:, ORDER], n, minlength=257)
-    own = [int(b) for b in np.lexsort((np.arange(257), -common)) if b and common[b] > 0][: ALPHABET - 2]
-    others = 256 - len(own)
-    symbols = len(own) + 2
-    remap = np.full(257, _OTHER)
-    remap[0] = _EDGE
-    remap[own] = np.arange(len(own)) + 2
-    parts = remap[parts]
-    # contexts by length; the most frequent are kept, with every suffix of theirs
-    kept: dict[tuple, int] = {(): 0}
-    seen: dict[tuple, float] = {}
-    for k in (1, 2, 3):
-        rows, inverse = np.unique(parts[:, ORDER - k : ORDER], axis=0, return_inverse=True)
-        for row, total in zip(rows.tolist(), np.bincount(inverse.ravel(), n).tolist(), strict=True):
-            seen[tuple(row)] = total
-    for context in sorted(seen, key=lambda c: (-seen[c], len(c), c)):
-        if len(kept) >= max_states:
-            break
-        if context[1:] in kept:
-            kept.setdefault(context, len(kept))
-    counts = np.zeros((len(languages), len(kept), symbols), np.float32)
+    by: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    for lang, gram, n in grams:
+        by[lang].append((gram, n))
+    return Model(sorted(by), [_tree(*np.array(by[lang], np.int64).T) for lang in sorted(by)])
+
+
+def _tree(grams: np.ndarray, n: np.ndarray) -> Tree:
+    codes, bits, contexts, escapes = [], [], [], []
+    shorter: tuple[np.ndarray, np.ndarray] | None = None  # codes of the order below and their probabilities
     for k in range(ORDER + 1):
-        at = np.array([kept.get(tuple(c), -1) for c in parts[:, ORDER - k : ORDER].tolist()])
-        np.add.at(counts, (lang[at >= 0], at[at >= 0], parts[at >= 0, ORDER]), n[at >= 0])
-    counts[:, :, _EDGE] = 0
-    bits = np.zeros((len(kept), symbols, len(languages)), np.float32)
-    uniform = np.full(symbols, 1 / 256)
-    uniform[_EDGE], uniform[_OTHER] = 0, others / 256
-    ordered = sorted(kept, key=len)
-    for x in range(len(languages)):
-        p = np.zeros((len(kept), symbols))
-        for context in ordered:
-            at = kept[context]
-            lower = p[kept[context[1:]]] if context else uniform
-            c = counts[x, at]
-            shown = c > 0
-            q, total = shown.sum(), c.sum()
-            if not q:
-                p[at] = lower
-                continue
-            rest = max(1 - lower[shown].sum(), 1e-12)
-            p[at] = np.where(shown, c / (total + q), q / (total + q) * lower / rest)
-        bits[:, :, x] = -np.log2(np.maximum(p, 1e-12))
-    bits[:, _OTHER, :] += np.log2(max(others, 1))
-    bits[:, _EDGE, :] = 0
-    state = np.zeros((symbols,) * ORDER, np.int32)
-    for context in ordered:
-        state[(slice(None),) * (ORDER - len(context)) + context] = kept[context]
-    return Model(languages, remap[1:].astype(np.uint8), symbols, state.ravel(), bits.reshape(-1, len(languages)))
+        code, inverse = np.unique(grams & ((1 << _SYMBOL * (k + 1)) - 1), return_inverse=True)
+        count = np.bincount(inverse, n)
+        context, of = np.unique(code >> _SYMBOL, return_inverse=True)
+        shown, total = np.bincount(of), np.bincount(of, count)
+        p = count / (total + shown)[of]
+        # what is shown here was shown in the shorter context too; its share there is excluded
+        below = np.full(len(code), 1 / 256) if shorter is None else shorter[1][np.searchsorted(shorter[0], code & ((1 << _SYMBOL * k) - 1))]
+        rest = 1 - np.bincount(of, below)
+        escape = shown / (total + shown) / np.maximum(rest, 1e-12)
+        codes.append(code)
+        bits.append(-np.log2(p))
+        contexts.append(context)
+        escapes.append(-np.log2(escape))
+        shorter = code, p
+    return Tree(codes, bits, contexts, escapes)
 
 
 def code_lengths(model: Model, texts: list[str | None]) -> np.ndarray:
     """Bits of every whole text under every language; shape (texts, languages)."""
     raw = [(t or "").lower().encode("utf-8", "replace") for t in texts]
-    size = np.array([len(r) + ORDER for r in raw])
-    begin = np.concatenate([[0], np.cumsum(size)])
-    stream = np.zeros(begin[-1], np.uint8)
-    for r, at in zip(raw, begin, strict=False):
-        stream[at + ORDER : at + ORDER + len(r)] = model.symbol[np.frombuffer(r, np.uint8)]
     out = np.zeros((len(texts), len(model.languages)))
-    a = model.symbols
-    for lo in range(0, len(stream), _WINDOW):
-        hi = min(len(stream), lo + _WINDOW)
-        s = np.zeros(hi - lo + ORDER, np.int32)
-        head = min(ORDER, lo)
-        s[ORDER - head :] = stream[lo - head : hi]
-        at = model.state[(s[:-3] * a + s[1:-2]) * a + s[2:-1]]
-        cost = model.bits[at * a + s[3:]]
-        cost[s[3:] == _EDGE] = 0
-        first, last = np.searchsorted(begin, lo, "right") - 1, np.searchsorted(begin, hi, "left")
-        starts = np.maximum(begin[first:last] - lo, 0)
-        out[first:last] += np.add.reduceat(cost, starts, axis=0, dtype=np.float64)
+    held: list[np.ndarray] = []
+    whose: list[int] = []
+
+    def flush() -> None:
+        if not held:
+            return
+        code, grams = pd.factorize(np.concatenate(held))
+        starts = np.cumsum([0, *(len(h) for h in held[:-1])])
+        for x, tree in enumerate(model.trees):
+            np.add.at(out[:, x], whose, np.add.reduceat(tree.cost(grams)[code], starts))
+        held.clear()
+        whose.clear()
+
+    size = 0
+    for i, r in enumerate(raw):
+        b = np.frombuffer(r, np.uint8)
+        for lo in range(0, len(b), _WINDOW):  # a long text goes through in parts, each with the bytes before it
+            before = min(lo, ORDER)
+            held.append(_codes(b[lo - before : lo + _WINDOW])[before:])
+            whose.append(i)
+            size += len(held[-1])
+            if size >= _WINDOW:
+                flush()
+                size = 0
+    flush()
     return out
 
 
@@ -183,7 +187,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame
                 top = bits.argmin(1)
                 low = bits[np.arange(len(texts)), top]
                 score = 1 / np.exp2(-np.minimum(bits - low[:, None], 1000)).sum(1)
-                best = [(model.languages[k], s, b / max(1, len(t.encode("utf-8", "replace")))) if t and _LETTER.search(t) else ("und", 0.0, None) for t, k, s, b in zip(texts, top, score.tolist(), low.tolist(), strict=True)]
+                best = [(model.languages[k], s, b / max(1, len(t.encode("utf-8", "replace")))) if t and any(map(str.isalpha, t)) else ("und", 0.0, None) for t, k, s, b in zip(texts, top, score.tolist(), low.tolist(), strict=True)]
             columns = [pa.array(c, t) for c, t in zip(zip(*best, strict=True), (pa.string(), pa.float64(), pa.float64()), strict=True)]
             return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte"])
 
@@ -196,15 +200,16 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(by))
 
 
-def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_states: int = MAX_STATES) -> Model | None:
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Fits on about `sample_rows` documents of each language; all of a language with fewer."""
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = {r[0]: min(1.0, sample_rows / r[1]) for r in rows.groupBy("lang").count().collect()}
-    if not share:
+    rows = rows.withColumn("part", digest_part(F.col("doc_id"), F.col("text")))
+    told = {r[0]: (r[1], r[2]) for r in rows.groupBy("lang").agg(F.count("*"), F.min("part")).collect()}
+    if not told:
         return None
-    part = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    grams = count_grams(rows.where(keep_fraction(F.col("doc_id"), part)))
-    return fit(sorted((r[0], r[1], r[2]) for r in grams.collect()), max_states)
+    most = F.create_map(*[F.lit(x) for lang, (n, least) in told.items() for x in (lang, max(least, sample_rows / n))])[F.col("lang")]
+    grams = count_grams(rows.where(F.col("part") <= most).select("lang", "text").distinct())
+    return fit(sorted((r[0], r[1], r[2]) for r in grams.collect()))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -275,26 +275,67 @@ def test_cgk_keeps_near_words_near():
     assert far(a, a) == 0 and far(a, b) < 0.5 * far(a, c)
 
 
-def test_ppm_probabilities():
-    texts = {"x": ["abracadabra abra", "cab"], "y": ["zzzz yyyy zzyy"]}
+def told_ppm(texts: list[str], text: str) -> float:
+    """Bits of a text by the definition: counts of every context, escapes by method C, exclusion down to the uniform order."""
+    seen: dict[bytes | tuple, dict[int, int]] = {}
+    symbols = lambda t: [0, 0, 0, *(b + 1 for b in t.lower().encode())]
+    for t in texts:
+        b = symbols(t)
+        for i in range(3, len(b)):
+            for k in range(4):
+                shown = seen.setdefault(tuple(b[i - k : i]), {})
+                shown[b[i]] = shown.get(b[i], 0) + 1
+
+    def p(context: tuple, x: int) -> float:
+        shown = seen.get(context)
+        lower = (lambda y: p(context[1:], y)) if context else (lambda y: 1 / 256)
+        if not shown:
+            return lower(x)
+        n, q = sum(shown.values()), len(shown)
+        if x in shown:
+            return shown[x] / (n + q)
+        return q / (n + q) * lower(x) / (1 - sum(lower(y) for y in shown))
+
+    b = symbols(text)
+    return -sum(np.log2(p(tuple(b[i - 3 : i]), b[i])) for i in range(3, len(b)))
+
+
+def ppm_model(texts: dict[str, list[str]]):
     grams: dict = {}
     for lang, some in texts.items():
         for t in some:
             for g in langid._grams(t).tolist():
                 grams[lang, g] = grams.get((lang, g), 0) + 1
-    model = langid.fit([(lang, g, n) for (lang, g), n in grams.items()])
-    p = np.exp2(-model.bits.reshape(-1, model.symbols, 2).astype(float))
-    others = 256 - (model.symbols - 2)
-    mass = p[:, 2:].sum(1) + others * p[:, 1]
-    assert np.allclose(mass, 1, atol=1e-3)
-    # escapes by hand: after "abra" of x, the context "bra" saw c once and the edge of the text never
-    bits = langid.code_lengths(model, ["abracadabra", "", "zzyy"])
-    assert bits[0, 0] < bits[0, 1] and bits[2, 1] < bits[2, 0] and (bits[1] == 0).all()
-    # long texts are scored in windows: the sum is that of all positions
-    long = "abra cab zz " * 60_000
-    one = langid.code_lengths(model, [long])
-    parts = langid.code_lengths(model, ["abra cab zz " * 2, "abra cab zz "])
-    assert np.allclose(one[0], parts[1] + (parts[0] - parts[1]) * 59_999, rtol=1e-5)
+    return langid.fit([(lang, g, n) for (lang, g), n in grams.items()])
+
+
+def test_ppm_by_definition(monkeypatch):
+    texts = {"x": ["abracadabra abra", "cab", "ΑΒΓ абв 中文"], "y": ["zzzz yyyy zzyy", "".join(map(chr, range(32, 600)))]}
+    model = ppm_model(texts)
+    shown = ["abracadabra", "", "zzyy", "Αβ абвг 中国", "ÿþý\x00", "abra cab zz ABRA"]
+    due = [[told_ppm(texts[lang], t) for lang in ("x", "y")] for t in shown]
+    assert np.allclose(langid.code_lengths(model, shown), due)
+    monkeypatch.setattr(langid, "_WINDOW", 5)  # parts of long texts and batches of short ones
+    assert np.allclose(langid.code_lengths(model, shown), due)
+    total = sum(2 ** -model.trees[0].cost(np.array([(98 << 9 | 115) << 18 | (99 << 9) | x + 1]))[0] for x in range(256))
+    assert abs(total - 1) < 1e-9
+
+
+def test_every_byte_tells_languages_apart(spark):
+    """Two scripts, whose bytes are rare beside many Latin texts, stay apart; letters alone make a text one of a language."""
+    rng = np.random.default_rng(3)
+    script = lambda lo, hi: " ".join("".join(chr(int(c)) for c in rng.integers(lo, hi, 5)) for _ in range(12))
+    rows = [(i, lang, t) for i in range(30) for lang, t in (("la", script(97, 123) * 20), ("ka", script(0x10D0, 0x10F0)), ("hy", script(0x561, 0x587)), ("bn", script(0x985, 0x9A8)))]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.train(docs)
+    fresh = [("ka", script(0x10D0, 0x10F0)), ("hy", script(0x561, 0x587)), ("bn", script(0x985, 0x9A8)), ("la", script(97, 123)), ("und", "½ ² 12 !"), ("und", "٣ _ ①")]
+    found = langid.identify(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(fresh)], "doc_id long, text string"), model, ["doc_id"]).collect()
+    assert [r.lang_pred for r in sorted(found)] == [lang for lang, _ in fresh]
+    one = spark.createDataFrame([(None, "la", "the same text")] * 2000 + [(1, "b", "x"), (2, "a", "x")], docs.select("doc_id", "lang", "text").schema)
+    model = langid.train(one)
+    assert model.languages == ["a", "b", "la"]
+    tie = langid.identify(spark.createDataFrame([(1, "x")], "doc_id long, text string"), model, ["doc_id"]).first()
+    assert tie.lang_pred == "a"
 
 
 def test_crf_against_all_paths():
