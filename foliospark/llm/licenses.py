@@ -1,7 +1,8 @@
 """License scan: Aho-Corasick over identifier tags and notice phrases, and a shunting-yard parser of license expressions.
 
 Texts are normalised to lower-case ASCII words joined by single spaces; phrases are matched on whole words, overlapping ones
-included. Behind an identifier tag the expression (and / or / with, parentheses) is parsed and evaluated.
+included. Behind an identifier tag, whose words stand on one line, the rest of that line is parsed and evaluated as an expression
+(and / or / with, parentheses): the automaton's hit gives the tag's place among the words, and the words' places in the text the line.
 
 Defined cases: a null or empty text has no words, no places, empty labels and score 0. A malformed expression yields the labels
 of the identifiers read before the fault and no obligation. Extra columns of the input are ignored.
@@ -55,7 +56,8 @@ LINKING = ("classpath-exception", "gcc-exception", "llvm-exception", "linking-ex
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 _SEPARATORS = bytes(0x20 if b < 0x30 or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_TAG_LINE = re.compile(rb"(?:spdx[^0-9a-z\x80-\xff\n]+license[^0-9a-z\x80-\xff\n]+identifier|license[^0-9a-z\x80-\xff\n]+expression)[ \t]*[:=]?[ \t]*([^\r\n]*)")
+_RAW_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+_REST = re.compile(rb"[ \t]*[:=]?[ \t]*([^\r\n]*)")
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*")
 
 
@@ -131,7 +133,7 @@ def automaton() -> ahocorasick.Automaton:
     for phrase, label, weight in NOTICES:
         found.setdefault(phrase, []).append(("notice", label, weight))
     for phrase in TAGS:
-        found.setdefault(phrase, []).append(("tag", "", TAG_WEIGHT))
+        found.setdefault(phrase, []).append(("tag", phrase, TAG_WEIGHT))
     out = ahocorasick.Automaton()
     for phrase, kinds in found.items():
         out.add_word(f" {phrase} ", (len(phrase) + 1, kinds))
@@ -139,6 +141,22 @@ def automaton() -> ahocorasick.Automaton:
     return out
 
 
+def tag_lines(raw: bytes, tags: list[tuple[int, int]]) -> list[bytes]:
+    """What follows each tag on its line. tags: (number of the first word, count of words), ascending."""
+    out, spans, at = [], _RAW_WORD.finditer(raw), -1
+    ends: dict[int, tuple[int, int]] = {}
+    for first, n in tags:
+        while at < first + n - 1 and (m := next(spans, None)):
+            at += 1
+            ends[at] = m.span()
+        begin, end = ends[first][0], ends[first + n - 1][1]
+        if b"\n" not in raw[begin:end] and b"\r" not in raw[begin:end]:
+            out.append(_REST.match(raw, end)[1])
+        for k in [k for k in ends if k < first]:
+            del ends[k]
+    return out
+
+
 def scan(raw: bytes | None, finder: ahocorasick.Automaton) -> tuple:
     """(n_words, n_base, first_word, last_word, base_labels, labels, score, expressions, obligation) of one text."""
     words = (raw or b"").translate(_SEPARATORS).split()
@@ -146,7 +164,8 @@ def scan(raw: bytes | None, finder: ahocorasick.Automaton) -> tuple:
     base: set[str] = set()
     labels: set[str] = set()
     places: list[int] = []
-    doubt, at, seen, tagged = 1.0, 0, 0, False
+    doubt, at, seen = 1.0, 0, 0
+    tags: list[tuple[int, int]] = []
     evidence: set[tuple[str, float]] = set()
     for end, (back, kinds) in finder.iter(line.decode("latin-1")):
         start = end - back
@@ -154,7 +173,7 @@ def scan(raw: bytes | None, finder: ahocorasick.Automaton) -> tuple:
         at = start
         for kind, label, weight in kinds:
             if kind == "tag":
-                tagged = True
+                tags.append((seen, label.count(" ") + 1))
                 continue
             if kind == "base":
                 places.append(seen)
@@ -163,9 +182,9 @@ def scan(raw: bytes | None, finder: ahocorasick.Automaton) -> tuple:
             evidence.add((label, weight))
     expressions: list[str] = []
     obligation = None
-    if tagged:
-        for found in _TAG_LINE.findall(raw.lower()):
-            text = found.decode("utf-8", "replace").strip()
+    if tags:
+        for found in tag_lines(raw, sorted(tags)):
+            text = found.lower().decode("utf-8", "replace").strip()
             verdict = evaluate(text)
             if verdict.labels:
                 expressions.append(text)
