@@ -1,9 +1,9 @@
 """URL filter by association rules.
 
-Given rules (host, path) decide the urls that they fit. Labels to learn from are those verdicts, and `block` for urls without a rule
-whose host has a seed word (a weak label, a parameter; where no rule fits such a url, the weak label decides). FP-growth mines combinations of url tokens that go with a label, over all
-urls: one without a label counts against a rule's confidence, so that what is labelled only where it is bad is not blamed; rules of enough support and confidence are kept, those that a shorter kept rule already implies at no less
-confidence are dropped, and an inverted index from tokens to rules judges all other urls.
+Given rules (host, path) decide the urls that they fit, and those verdicts are the labels to learn from. FP-growth mines combinations of
+url tokens that go with a label, over all urls that have one; rules of enough support and confidence are kept, those that a shorter kept
+rule already implies at no less confidence are dropped, and an inverted index from tokens to rules judges all other urls: of the rules
+that fit, the surest decide.
 
 Tokens of a url: scheme, all labels of the host from the right with their depth and their words (split at hyphens), all path parts
 with their depth, the shape of every part (digits, letters, mixed), extension, all keys of the query. No url is cut. Itemsets have at
@@ -34,8 +34,6 @@ from .common import load, materialise
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 DEFAULT, BLOCK = "allow", 0.5
 SUPPORT, FEWEST, CONFIDENCE, LONGEST = 0.005, 5, 0.6, 4
-#: Host words that weakly label a url as one to block.
-SEED_WORDS = ("casino", "bets", "poker", "pills", "adult", "porn", "xxx", "spam", "malware", "phishing", "ads")
 VERDICTS = ("allow", "block")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -89,17 +87,20 @@ class Rules:
     rules: list[tuple[frozenset[str], float]]
     index: dict[str, list[int]]
 
-    def judge(self, tokens: list[str] | None, weak: str | None = None) -> float:
-        """Confidence of block: the mean over the rules that fit, each weighing its own decidedness; without any the weak label or the default."""
+    def judge(self, tokens: list[str] | None) -> float:
+        """Confidence of block by the surest of the rules that fit, their mean if several are; without any the default."""
         own = set(tokens or ())
-        up = total = 0.0
+        surest, found = 0.0, []
         for t in own:
             for r in self.index.get(t, ()):
                 need, block = self.rules[r]
                 if need <= own:
-                    weight = abs(block - 0.5) ** 2 * len(need)
-                    up, total = up + weight * block, total + weight
-        return up / total if total else float((weak or DEFAULT) == "block")
+                    sure = abs(block - 0.5)
+                    if sure > surest:
+                        surest, found = sure, []
+                    if sure == surest:
+                        found.append(block)
+        return sum(found) / len(found) if found else float(DEFAULT == "block")
 
 
 def grow(base: dict[tuple[int, ...], np.ndarray], suffix: tuple[int, ...], least: np.ndarray, longest: int, out: list) -> None:
@@ -156,8 +157,8 @@ def itemsets(urls: DataFrame, support: float, longest: int) -> DataFrame:
 
 
 def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, longest: int = LONGEST) -> Rules:
-    """Rules from columns tokens and verdict (null: no label)."""
-    sets = materialise(itemsets(urls, support, longest), "itemsets", small=True)
+    """Rules from columns tokens and verdict (null: no label, nothing to learn from)."""
+    sets = materialise(itemsets(urls.where("verdict is not null"), support, longest), "itemsets", small=True)
     sides = F.explode(F.array(*[F.struct(F.lit(v).alias("verdict"), F.col(v).alias("freq"), F.col(f"{v}_least").alias("least")) for v in VERDICTS]))
     rules = sets.select("need", "all", sides.alias("side")).select("need", "side.*", (F.col("side.freq") / F.col("all")).alias("confidence"))
     rules = rules.where((F.col("freq") >= F.col("least")) & (F.col("confidence") >= confidence)).drop("least")
@@ -182,21 +183,20 @@ def mine(urls: DataFrame, support: float = SUPPORT, confidence: float = CONFIDEN
     return Rules(out, dict(index))
 
 
-def url_filter(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: float = CONFIDENCE, seed_words=SEED_WORDS) -> DataFrame:
+def url_filter(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict, score (confidence of block)."""
     url = F.col("url").cast("string")
     parsed = pages.select("page_id", url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     told = parsed.withColumn("rule", rule).withColumn("given", verdict).withColumn("tokens", tokens_of(F.col("url"), F.col("host"), F.col("path")))
-    told = told.withColumn("weak", F.when(F.arrays_overlap(host_words(F.col("host")), F.lit(list(seed_words))), F.lit("block")))
-    mined = mine(told.select("tokens", F.coalesce("given", "weak").alias("verdict")), support, confidence)
+    mined = mine(told.select("tokens", F.col("given").alias("verdict")), support, confidence)
     shared = pages.sparkSession.sparkContext.broadcast(mined)
 
     @F.arrow_udf("double")
-    def judge(tokens: pa.Array, weak: pa.Array) -> pa.Array:
-        return pa.array([shared.value.judge(t, w) for t, w in zip(tokens.to_pylist(), weak.to_pylist(), strict=True)], pa.float64())
+    def judge(tokens: pa.Array) -> pa.Array:
+        return pa.array([shared.value.judge(t) for t in tokens.to_pylist()], pa.float64())
 
-    scored = told.withColumn("mined", judge("tokens", "weak"))
+    scored = told.withColumn("mined", judge("tokens"))
     score = F.when(F.col("given").isNull(), F.col("mined")).otherwise((F.col("given") == "block").cast("double"))
     return scored.withColumn("score", score).select("page_id", "host", "path", "rule", F.when(F.col("score") >= BLOCK, "block").otherwise("allow").alias("verdict"), "score")
 
