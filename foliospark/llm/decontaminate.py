@@ -1,6 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit verification.
 
-Texts become words (lower-cased letters and digits; all else separates). A document holds an item of n words if some stretch of it
+Texts become words: lower-cased runs of letters and digits of any script, and single characters of scripts that are written without
+spaces; all else separates. A document holds an item of n words if some stretch of it
 is within k = floor(n * (1 - similarity)) word edits of the item.
 
 1. Windows. An item within k edits shares, by the pigeonhole principle, a run of at least (n - k) / (k + 1) unchanged words with the
@@ -10,16 +11,18 @@ is within k = floor(n * (1 - similarity)) word edits of the item.
    edits give few differing places. Windows of one size are embedded together.
 3. LSH. Several walks, each with several samples of places; a window and an item that agree on all places of a sample are
    candidates. The number of repetitions is raised until seeded trials on the items themselves, edited up to the full budget, reach
-   the target recall.
+   the target recall. Where MOST_WALKS do not reach it for a size, every window laid for an item of that size is a candidate for it,
+   which loses none.
 4. Exact semi-global edit distance (bit-parallel) around every candidate decides.
 
 The items are a stated query set: they go through in blocks of `block_items`, and only a block at a time is broadcast.
 Defined cases: a null or wordless text or item matches nothing; repeated items and documents are each reported; an empty table
-gives no rows. Extra columns of the input are ignored.
+gives no rows; an item or text of any length goes through in parts of bounded memory. Extra columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,12 +38,21 @@ from .common import load, over_arrow
 SIMILARITY, RECALL, BLOCK_ITEMS = 0.8, 0.99, 20_000
 WALKS, SAMPLES, MOST_WALKS = 2, 8, 24
 SEED_WORDS, STRETCH, CLASSES, SEED = 3, 3, 1024, 20_240_229
-_SEPARATORS = bytes(0x20 if b < 0x30 or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256))
+#: Words of the windows that are embedded at a time; sizes up to which coins are kept.
+_EMBEDDED, _KEPT = 1 << 21, 512
+_SEPARATORS = {b: " " for b in range(128) if not chr(b).isalnum()}
+#: Scripts without spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+_ALONE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_APART, _WORD = re.compile(f"[{_ALONE}]"), re.compile(r"[^\W_]+")
+_SCRIPTS = re.compile(f"[{_ALONE}]|[^\\W_{_ALONE}]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_SEPARATORS).split()
+def words_of(text: str | None) -> list[str]:
+    low = (text or "").lower()
+    if low.isascii():
+        return low.translate(_SEPARATORS).split()
+    return (_SCRIPTS if _APART.search(low) else _WORD).findall(low)
 
 
 def budget(n: int, similarity: float = SIMILARITY) -> int:
@@ -57,9 +69,13 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1024)
 def coins(n: int, walk: int) -> np.ndarray:
     """Shared coins of a walk: whether to go on after writing a word, by step and by class of the word."""
+    return _kept_coins(n, walk) if n <= _KEPT else _kept_coins.__wrapped__(n, walk)
+
+
+@lru_cache(maxsize=256)
+def _kept_coins(n: int, walk: int) -> np.ndarray:
     return np.random.default_rng((SEED, n, walk, 1)).integers(0, 2, (STRETCH * n, CLASSES), np.uint8)
 
 
@@ -118,11 +134,11 @@ def best_stretch(item: list[int], text: list[int]) -> tuple[int, int]:
 
 @dataclass
 class Index:
-    """Items of one block, ready to be matched. by_size: item numbers by their count of words; runs: seeds of g words to (item, offset)."""
+    """Items of one block, ready to be matched. runs: seeds of g words to (item, offset); walks: by size of an item, 0 where all windows are candidates."""
 
     ids: list[int]
     items: list[np.ndarray]
-    vocabulary: dict[bytes, int]
+    vocabulary: dict[str, int]
     similarity: float
     runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     walks: dict[int, int]
@@ -151,23 +167,23 @@ def _edited(item: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return np.array((out + [-2 - int(x) for x in rng.integers(1 << 30, size=n)])[:n], np.int64)
 
 
-def walks_needed(items: list[np.ndarray], k: int, recall: float, trials: int = 200) -> int:
-    """Walks, each with SAMPLES samples, after which that share of trial edits met its item."""
+def walks_needed(items: list[np.ndarray], k: int, recall: float, trials: int = 200, most: int | None = None) -> int:
+    """Walks, each with SAMPLES samples, after which that share of trial edits met its item; 0 if MOST_WALKS are too few."""
     rng = np.random.default_rng((SEED, len(items[0]), k))
     n = len(items[0])
     chosen = [items[int(i)] for i in rng.integers(len(items), size=trials)]
     left, right = np.stack(chosen), np.stack([_edited(x, k, rng) for x in chosen])
     met = np.zeros(trials, bool)
-    for walk in range(MOST_WALKS):
+    for walk in range(MOST_WALKS if most is None else most):
         places = sample_places(n, k, walk)
         met |= (signatures(embed(left, walk), places) == signatures(embed(right, walk), places)).any(1)
         if walk + 1 >= WALKS and met.mean() >= recall:
             return walk + 1
-    return MOST_WALKS
+    return 0
 
 
-def build(rows: list[tuple[int, str | None]], similarity: float = SIMILARITY, recall: float = RECALL) -> Index:
-    vocabulary: dict[bytes, int] = {}
+def build(rows: list[tuple[int, str | None]], similarity: float = SIMILARITY, recall: float = RECALL, most_walks: int = MOST_WALKS) -> Index:
+    vocabulary: dict[str, int] = {}
     ids, items = [], []
     for item_id, text in rows:
         if words := words_of(text):
@@ -188,7 +204,7 @@ def build(rows: list[tuple[int, str | None]], similarity: float = SIMILARITY, re
     walks, tables = {}, {}
     for n, members in by_size.items():
         k = budget(n, similarity)
-        walks[n] = walks_needed([items[t] for t in members], k, recall)
+        walks[n] = walks_needed([items[t] for t in members], k, recall, most=most_walks)
         block = np.stack([items[t] for t in members])
         for walk in range(walks[n]):
             table: list[dict[int, list[int]]] = [defaultdict(list) for _ in range(SAMPLES)]
@@ -200,7 +216,7 @@ def build(rows: list[tuple[int, str | None]], similarity: float = SIMILARITY, re
 
 
 def windows(index: Index, words: np.ndarray) -> dict[int, np.ndarray]:
-    """Starts of the windows to look at, by size: those on whose diagonal the text and an item share a run."""
+    """Windows to look at, by size: those on whose diagonal the text and an item share a run, as starts, or as (start, item) where the size has no walks."""
     out: dict[int, list[np.ndarray]] = defaultdict(list)
     sizes = np.array([len(x) for x in index.items])
     for g, (keys, first, item, offset) in index.runs.items():
@@ -218,9 +234,10 @@ def windows(index: Index, words: np.ndarray) -> dict[int, np.ndarray]:
         reps = first[at + 1] - first[at]
         rows = np.repeat(first[at], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
         start, size = np.repeat(where, reps) - offset[rows], sizes[item[rows]]
-        for n in np.unique(size):
-            out[int(n)].append(start[size == n])
-    return {n: np.unique(np.concatenate(s)) for n, s in out.items()}
+        for n in np.unique(size).tolist():
+            own = size == n
+            out[n].append(start[own] if index.walks[n] else np.unique(np.stack([start[own], item[rows[own]]], 1), axis=0))
+    return {n: np.unique(np.concatenate(s), axis=0) for n, s in out.items()}
 
 
 def match(index: Index, texts: list[str | None]) -> list[tuple[int, int, int, int, int, float]]:
@@ -237,10 +254,13 @@ def match(index: Index, texts: list[str | None]) -> list[tuple[int, int, int, in
     for n, parts in sorted(laid.items()):
         k = budget(n, index.similarity)
         owner = np.concatenate([np.full(len(s), d) for d, s in parts])
-        starts = np.concatenate([s for _, s in parts])
+        starts = np.concatenate([s if index.walks[n] else s[:, 0] for _, s in parts])
         pairs: set[tuple[int, int]] = set()
-        for lo in range(0, len(starts), 1 << 15):
-            some, whose = starts[lo : lo + (1 << 15)], owner[lo : lo + (1 << 15)]
+        if not index.walks[n]:
+            pairs.update(enumerate(np.concatenate([s[:, 1] for _, s in parts]).tolist()))
+        step = max(1, _EMBEDDED // (STRETCH * n))
+        for lo in range(0, len(starts) if index.walks[n] else 0, step):
+            some, whose = starts[lo : lo + step], owner[lo : lo + step]
             # places outside the text are strangers; so are unknown words, which no item holds
             at = some[:, None] + np.arange(n)[None, :]
             inside = (at >= 0) & (at < (begin[whose + 1] - begin[whose])[:, None])

@@ -266,6 +266,42 @@ def test_recall_of_edited_items():
     assert D.match(index, [" ".join(rng.choice([f"v{i}" for i in range(99)], 500))]) == []
 
 
+def test_items_beyond_the_walks_lose_none():
+    """Without enough walks all laid windows are verified: everything within the budget is found, against all stretches by brute force."""
+    rng = np.random.default_rng(10)
+    words = [f"w{i}" for i in range(60)]
+    items = [(t, " ".join(rng.choice(words, rng.integers(1, 12)))) for t in range(40)]
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(20)] + [" ".join([*rng.choice(words, 9), *D.words_of(x)[1:], *rng.choice(words, 9)]) for _, x in items]
+    index = D.build(items, most_walks=0)
+    assert set(index.walks.values()) == {0}
+    told = set()
+    for d, text in enumerate(texts):
+        own = text.split()
+        for t, x in items:
+            item = x.split()
+            k = D.budget(len(item))
+            if min(edits(item, own[i:j]) for i in range(len(own)) for j in range(i + 1, min(len(own), i + len(item) + k) + 1)) <= k:
+                told.add((d, t))
+    assert {(d, t) for d, t, *_ in D.match(index, texts)} == told
+    usual = {(d, t) for d, t, *_ in D.match(D.build(items), texts)}
+    assert usual <= told and len(usual) >= 0.97 * len(told)
+
+
+def test_words_of_any_script():
+    assert D.words_of("Don’t—stop, naïve café! 中文字 ab中c ไทย１２ x_y") == ["don", "t", "stop", "naïve", "café", "中", "文", "字", "ab", "中", "c", "ไ", "ท", "ย", "１２", "x", "y"]
+    text = "前面的话" + "这是一个很长的基准测试题目请回答" + "后面的话"
+    found = D.match(D.build([(1, "这是一个很长的基准测试题目请回答"), (2, "「这是一个」很长的基准测试题目请答")]), [text, "别的"])
+    assert [(d, t) for d, t, *_ in found] == [(0, 1), (0, 2)]
+
+
+def test_long_items():
+    rng = np.random.default_rng(11)
+    item = rng.choice([f"w{i}" for i in range(5000)], 10_000).tolist()
+    text = rng.choice([f"v{i}" for i in range(50)], 3000).tolist() + [w if rng.random() > 0.05 else "zz" for w in item] + ["tail"] * 500
+    found = D.match(D.build([(1, " ".join(item))]), [" ".join(text), " ".join(item[:6000])])
+    assert [(d, t) for d, t, *_ in found] == [(0, 1)]
+
+
 def test_cgk_keeps_near_words_near():
     rng = np.random.default_rng(2)
     a = rng.integers(0, 1000, (200, 40))
