@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pytest
@@ -196,12 +197,40 @@ def test_warc(spark):
     assert warc.read_pages(spark, empty).count() == 0
 
 
+def test_ids_of_the_whole_range(spark):
+    big, least = "y" * 1100, -(1 << 63)
+    df = spark.createDataFrame([(least, "u", big), (None, "u", big), ((1 << 63) - 1, "u", "z" * 2000), (None, "u", "q" * 3000), (None, "u", "q" * 3000)], "page_id long, url string, html string")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(df, path)
+    out = sorted(map(str, ((r.page_id, r.payload_bytes, r.record_type, r.refers_to, r.fault) for r in warc.read_pages(spark, path).collect())))
+    assert out == sorted(map(str, [(least, 1100, "response", None, None), (None, 1100, "revisit", least, None), ((1 << 63) - 1, 2000, "response", None, None), (None, 3000, "response", None, None), (None, 3000, "response", None, None)]))
+
+
 def test_broken_segments(spark):
     message = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc.chunked(b"hello" * 10)
     half = len(message) // 2
-    schema = "kind string, name string, origin string, segment int, total long, refers_to string, digest string, block binary, whole boolean"
-    seg = lambda o, n, block, total=None: ("response" if n == 1 else "continuation", f"{o}:{n}", o, n, total, None, None, block, False)
-    rows = [seg("a", 2, message[half:], len(message)), seg("a", 1, message[:half]), seg("b", 1, message[:half]), seg("b", 3, message[half:], len(message)), seg("c", 1, message[:half]), seg("c", 2, message[half:], 7), seg("d", 1, message[:half]), seg("d", 2, message[half:-9], len(message) - 9)]
-    out = {r.name: (r.payload, r.fault) for r in warc.reassembled(spark.createDataFrame(rows, schema)).collect()}
+    seg = lambda o, n, block, total=None: ("response" if n == 1 else "continuation", f"{o}:{n}", o, n, total, None, None, block, None, None, None, None)
+    rows = [seg("a", 2, message[half:], len(message)), seg("a", 1, message[:half]), seg("b", 1, message[:half]), seg("b", 3, message[half:], len(message)), seg("c", 1, message[:half]), seg("c", 2, message[half:], 7), seg("d", 1, message[:half]), seg("d", 2, message[half:-9], len(message) - 9), seg("e", None, b"x")]
+    out = {r.name: (r.payload, r.fault) for r in warc.reassembled(spark.createDataFrame(rows, warc._RECORD)).collect()}
     assert out["a"] == (b"hello" * 10, None)
-    assert out["b"][1] == "segments are missing or repeated" and out["c"][1] == "total length differs" and out["d"][1].startswith("chunked framing")
+    assert out["b"][1] == out["e"][1] == "segments are missing or repeated" and out["c"][1] == "total length differs" and out["d"][1].startswith("chunked framing")
+
+
+def test_damaged_archives(spark, tmp_path):
+    """Whatever is wrong with an archive gives fault rows, and the sound records around it are read."""
+    good = [b"".join(warc.records_of(i, 0, "u", b"payload %d" % i, None)) + b"\r\n\r\n" for i in range(4)]
+    plain = good[0] + b"rubbish in between\r\n\r\n" + good[1] + good[2].replace(b"Content-Length", b"Content-Size") + good[3]
+    lacking = good[0].replace(b"WARC-Record-ID", b"WARC-Other") + good[1].replace(b"WARC-Type", b"WARC-Kind") + good[2]
+    for name, content in {
+        "members": b"".join(gzip.compress(g) for g in good), "plain": gzip.compress(plain), "lacking": gzip.compress(lacking), "cut": gzip.compress(b"".join(good))[:-20], "no_gzip": b"not gzip at all", "half": gzip.compress(b"".join(good)[:-30]), "empty": b"",
+        "damaged": gzip.compress(good[0]) + b"\x1f\x8b\x08\x00garbage", "foreign": gzip.compress(good[0].replace(b"urn:page:0:0", b"urn:uuid:1-2-3")), "length": gzip.compress(good[0].replace(b"Content-Length: ", b"Content-Length: -") + good[1]),
+    }.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.gz").write_bytes(content)
+        out = warc.read_pages(spark, str(tmp_path / name)).collect()
+        told = sorted(r.page_id for r in out if r.record_type == "response" and r.page_id is not None)
+        faults = sum(r.record_type == "damaged" and bool(r.fault) for r in out)
+        assert (told, faults) == {
+            "members": ([0, 1, 2, 3], 0), "plain": ([0, 1, 3], 2), "lacking": ([2], 2), "cut": (told, 2 if told != [0, 1, 2, 3] else 1), "no_gzip": ([], 1), "half": ([0, 1, 2], 1), "empty": ([], 0), "damaged": ([0], 1), "foreign": ([], 0), "length": ([1], 1),
+        }[name], name
+    assert [r.payload for r in warc.reassembled(warc.read_records(spark, str(tmp_path / "members"))).orderBy("name").collect()] == [b"payload %d" % i for i in range(4)]
