@@ -3,17 +3,22 @@
 Every line gets features of its bytes (shares of character classes, lengths, repetition) and those of its neighbours. The chain
 labels each line good or bad; forward-backward gives the marginals, and a document's score is their mean weighted by line length.
 
-Training: lines take their document's label. The field is fitted by full-batch gradient ascent (Adam, L2) on the exact conditional
-likelihood. The sample is `sample_rows` labelled documents in expectation, kept by a digest of the id (a bounded, documented
-sample); only line features reach the driver, for at most `sample_lines` lines of a document, while scoring reads every line.
+Training: the lines' labels are latent, only the document's is told. A document's label pulls on each of its lines' labels (`PULL`), and
+its likelihood is the chain's total weight under that pull against both. The field is fitted by full-batch gradient ascent (Adam, L2) on
+that likelihood: what the chain expects of features and transitions with the told label less what it expects with the untold one, as far
+as the document is not explained yet. So a good line in a bad document may be labelled good, and the transitions between good and bad
+lines are learned from expected counts. The sample is `sample_rows` labelled
+documents in expectation, kept by a digest of the id (a bounded, documented sample); only line features reach the driver, of a stretch of
+at most `SAMPLE_LINES` lines of a document, while scoring reads every line.
 
 Defined cases: a null or empty text is one empty line and gets that line's marginal. Without any labelled row the field is
 neutral, score 0.5. Labels other than 0 and 1 are ignored; several labels of a document count one by one. Null doc_id counts as the empty text in the
-split. Extra columns are kept by `keep_good` and ignored elsewhere.
+split. A text of many lines goes through the chain by prefix products, not line by line. Extra columns are kept by `keep_good` and ignored elsewhere.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +31,8 @@ from .langid import remainder
 
 SAMPLE_ROWS, SAMPLE_LINES, STEPS, L2, RATE = 4000, 400, 150, 1e-4, 0.1
 THRESHOLD = 0.3
+#: Log-odds by which a document's label pulls on a line's; lines from which on a chain is passed by prefix products.
+PULL, _LONG = 0.5, 512
 #: Byte classes: lower, upper, digit, space, stops (.,;:'"-), marks (!?), bars (|/\<>{}[]()), signs (#$%&*+=@^_`~), non-ASCII, control.
 _CLASSES = 10
 _CLASS = np.full(256, 9, np.uint8)
@@ -81,26 +88,60 @@ class Field:
         real = steps < counts[None, :]
         return np.where(real, (x @ self.weights)[np.minimum(first[None, :] + steps, len(x) - 1)], 0.0), real
 
-    def passes(self, x: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Forward-backward over texts side by side: marginals of good, of the transitions, and what is real."""
+    def passes(self, x: np.ndarray, counts: np.ndarray, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward-backward over texts side by side: marginals of good, of the transitions, and what is real. seen: what is added to the good label's potential on all lines of a text."""
+        good, pairs, real, _ = self._messages(x, counts, seen)
+        return good, pairs, real
+
+    def _messages(self, x: np.ndarray, counts: np.ndarray, seen: np.ndarray | None) -> tuple:
+        """`passes` and, for chains that are passed line by line, the log of their total weight."""
         u, real = self.padded(x, counts)
+        if seen is not None:
+            u = np.where(real, u + seen[None, :], 0.0)
         t, d = u.shape
         node = np.stack([np.zeros_like(u), u], 2)
+        total = np.where(real, node.max(2), 0).sum(0) + self.moves.max() * (counts - 1)
         node = np.exp(node - node.max(2, keepdims=True))
-        move = np.exp(self.moves)
-        ahead, back = np.empty((t, d, 2)), np.ones((t, d, 2))
-        ahead[0] = node[0] / node[0].sum(1, keepdims=True)
-        for i in range(1, t):
-            a = (ahead[i - 1] @ move) * node[i]
-            ahead[i] = a / a.sum(1, keepdims=True)
-        for i in range(t - 2, -1, -1):
-            b = (node[i + 1] * back[i + 1]) @ move.T
-            back[i] = np.where(real[i + 1][:, None], b / b.sum(1, keepdims=True), 1.0)
+        move = np.exp(self.moves - self.moves.max())
+        if t >= _LONG:
+            total = None
+            ahead, back = self._products(node, move, real)
+        else:
+            ahead, back = np.empty((t, d, 2)), np.ones((t, d, 2))
+            ahead[0] = node[0] / node[0].sum(1, keepdims=True)
+            total = total + np.log(node[0].sum(1))
+            for i in range(1, t):
+                a = (ahead[i - 1] @ move) * node[i]
+                ahead[i] = a / a.sum(1, keepdims=True)
+                total = total + np.where(real[i], np.log(a.sum(1)), 0)
+            for i in range(t - 2, -1, -1):
+                b = (node[i + 1] * back[i + 1]) @ move.T
+                back[i] = np.where(real[i + 1][:, None], b / b.sum(1, keepdims=True), 1.0)
         both = ahead * back
         good = both[:, :, 1] / both.sum(2)
         pairs = ahead[:-1, :, :, None] * move[None, None] * (node[1:] * back[1:])[:, :, None, :]
         pairs /= np.maximum(pairs.sum((2, 3), keepdims=True), 1e-300)
-        return good, pairs, real
+        return good, pairs, real, total
+
+    @staticmethod
+    def _products(node: np.ndarray, move: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same messages by prefix and suffix products of the steps' matrices, each doubled in reach until it is whole."""
+        t = len(node)
+        step = move[None, None] * node[:, :, None, :]
+        step[0] = node[0][:, None, :] / 2  # from nowhere
+        step = np.where(real[:, :, None, None], step, np.eye(2))
+        scaled = lambda m: m / m.sum((2, 3), keepdims=True)
+        ahead, reach = scaled(step), 1
+        back = np.concatenate([ahead[1:], np.broadcast_to(np.eye(2) / 2, (1, *step.shape[1:]))])
+        while reach < t:
+            grown = ahead.copy()
+            grown[reach:] = scaled(ahead[:-reach] @ ahead[reach:])
+            ahead = grown
+            grown = back.copy()
+            grown[:-reach] = scaled(back[:-reach] @ back[reach:])
+            back, reach = grown, 2 * reach
+        ahead, back = ahead.sum(2), back.sum(3)
+        return ahead / ahead.sum(2, keepdims=True), back / back.sum(2, keepdims=True)
 
     def score(self, x: np.ndarray, size: np.ndarray, counts: np.ndarray, most: int = 200_000) -> np.ndarray:
         """Length-weighted marginals. Texts go through in groups of like length, so that padding stays small."""
@@ -123,7 +164,7 @@ class Field:
 
 
 def fit(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = STEPS, l2: float = L2, rate: float = RATE) -> Field:
-    """Gradient ascent on the mean log-likelihood of the lines' labels."""
+    """Gradient ascent on the log-likelihood of the documents' labels, the lines' being latent. Texts have fewer than _LONG lines."""
     mean, spread = x.mean(0, dtype=np.float64), x.std(0, dtype=np.float64)
     bias = int(np.flatnonzero((spread < 1e-6) & (mean == 1))[0])
     scale = np.where(spread < 1e-6, 1, spread)
@@ -137,17 +178,17 @@ def fit(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = STEP
             rows = np.concatenate([np.arange(first[i], first[i] + counts[i]) for i in part])
             groups.append(((x[rows] - mean) / scale, counts[part], labels[part].astype(int)))
     params, m, v = np.zeros(x.shape[1] + 4), 0.0, 0.0
-    total = counts.sum()
     for step in range(1, steps + 1):
         field.weights, field.moves = params[:-4], params[-4:].reshape(2, 2)
         grad = -l2 * params
         for gx, gc, gy in groups:
-            good, pairs, real = field.passes(gx, gc)
-            left = np.where(real, gy[None, :] - good, 0)
-            grad[:-4] += left.T[real.T] @ gx / total
-            told = np.zeros((2, 2))
-            np.add.at(told, (gy, gy), gc - 1)
-            grad[-4:] += (told - pairs[real[1:]].sum(0)).ravel() / total
+            pulled = [field._messages(gx, gc, np.full(len(gc), way)) for way in (-PULL, PULL)]
+            # a pull on good lines is half one on bad lines the other way
+            likely = 1 / (1 + np.exp(np.clip(pulled[0][3] - pulled[1][3] + PULL * gc, -500, 500)))
+            real, open_ = pulled[0][2], gy - likely
+            left = np.where(real, (pulled[1][0] - pulled[0][0]) * open_[None, :], 0)
+            grad[:-4] += left.T[real.T] @ gx / len(counts)
+            grad[-4:] += ((pulled[1][1] - pulled[0][1]) * open_[None, :, None, None])[real[1:]].sum(0).ravel() / len(counts)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         params = params + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     weights = params[:-4] / scale
@@ -181,8 +222,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             out = []
             for raw, label in zip(raw_texts(batch.column("text")), batch.column("label").to_pylist(), strict=True):
                 x, _, _ = line_features([raw or b""])
-                if len(x) > SAMPLE_LINES:
-                    x = x[np.linspace(0, len(x) - 1, SAMPLE_LINES).astype(int)]
+                if len(x) > SAMPLE_LINES:  # a stretch, whose place the text decides
+                    at = zlib.crc32(raw) % (len(x) - SAMPLE_LINES + 1)
+                    x = x[at : at + SAMPLE_LINES]
                 out.append((x.astype(np.float32).tobytes(), label))
             return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.int32())], names=["x", "label"])
 

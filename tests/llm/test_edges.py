@@ -138,6 +138,8 @@ def test_quality(spark, docs, none):
     neutral = quality.train(none, labels.limit(0))
     assert {round(r.quality_score, 6) for r in quality.quality(docs.select("text"), neutral).collect()} == {0.5}
     assert quality.keep_good(none, field).count() == 0
+    again = quality.train(docs, labels.unionByName(labels).unionByName(labels.where("quality = 1")))
+    assert all(0 <= r.quality_score <= 1 for r in quality.quality(docs.select("text"), again).collect())
 
 
 def test_decontamination(spark, docs, none):

@@ -394,6 +394,49 @@ def test_crf_against_all_paths():
         first += n
 
 
+def test_long_chains_by_products(monkeypatch):
+    """Prefix products give the same marginals as line by line, for texts of unequal length side by side."""
+    rng = np.random.default_rng(14)
+    field = quality.Field(rng.normal(size=4), rng.normal(size=(2, 2)))
+    counts = np.array([1, 37, 600, 599])
+    x = rng.normal(size=(counts.sum(), 4)) * 3
+    seen = rng.normal(size=4)
+    fast = field.passes(x, counts, seen)
+    monkeypatch.setattr(quality, "_LONG", 1 << 30)
+    slow = field.passes(x, counts, seen)
+    real = slow[2]
+    assert np.allclose(fast[0][real], slow[0][real]) and np.allclose(fast[1][real[1:]], slow[1][real[1:]])
+    lines = b"a good plain line of words\n!! $$ >>\n" * 150_000
+    assert 0 <= quality.Field(rng.normal(size=3 * quality.OWN - 2) / 9, rng.normal(size=(2, 2))).score(*quality.line_features([lines]))[0] <= 1
+
+
+def test_line_labels_are_latent():
+    """Documents of either kind hold lines of both; the chain learns the lines and how they follow each other, not one label for a whole text."""
+    rng = np.random.default_rng(15)
+    xs, ys, labels = [], [], []
+    for d in range(300):
+        label = d % 2
+        y, now = [], int(rng.random() < (0.85 if label else 0.15))
+        for _ in range(int(rng.integers(6, 30))):
+            y.append(now)
+            now = now if rng.random() < 0.7 else int(rng.random() < (0.85 if label else 0.15))
+        y = np.array(y)
+        xs.append(np.stack([y + rng.normal(0, 0.5, len(y)), rng.normal(size=len(y)), np.ones(len(y))], 1))
+        ys.append(y)
+        labels.append(label)
+    import unittest.mock as mock
+
+    with mock.patch.object(quality, "calibrated", lambda field, *a: field):
+        field = quality.fit(np.concatenate(xs), np.array([len(x) for x in xs]), np.array(labels))
+    good, pairs, real = field.passes(np.concatenate(xs), np.array([len(x) for x in xs]))
+    told = np.concatenate(ys)
+    found = good.T[real.T] >= 0.5
+    mixed = np.concatenate([np.full(len(y), 0 < y.mean() < 1) for y in ys])
+    assert (found == told).mean() > 0.8 and (found[mixed] == told[mixed]).mean() > 0.75
+    switches = pairs[real[1:]].mean(0)
+    assert switches[0, 1] > 0.02 and switches[1, 0] > 0.02
+
+
 def test_url_rules(spark):
     rows = [(["a", "b"], "block")] * 8 + [(["a", "c"], "allow")] * 8 + [(["a"], None)] * 20 + [(["b", "d"], "block")] * 2
     rules = urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), support=0.02)
