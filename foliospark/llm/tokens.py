@@ -23,6 +23,7 @@ it is read; repeated rows are sequences of their own; an empty table gives no re
 from __future__ import annotations
 
 import base64
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import load, materialise, over_arrow, scratch_path
@@ -135,21 +136,26 @@ def vocabulary(path: str = TOKENIZER) -> Vocabulary:
 
 
 def in_files(docs: DataFrame) -> DataFrame:
-    """(file, row, doc_id, text): the number of the file that a row stands in and its place there; documents that are in no files are written first."""
+    """(file, row, doc_id, text): the path of the file that a row stands in and its place there; documents that are in no files are written first."""
     shown = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
     try:
         meta = docs.metadataColumn("_metadata")
-        part = F.regexp_extract(meta["file_name"], r"part-([0-9]+)", 1).cast("long")
-        return docs.select(F.coalesce(part, F.lit(0)).alias("file"), meta["row_index"].alias("row"), *shown)
+        return docs.select(meta["file_path"].alias("file"), meta["row_index"].alias("row"), *shown)
     except AnalysisException:
         return in_files(materialise(docs.select(*shown), "documents"))
 
 
+def _written(path: str) -> int:
+    """The number that Spark gave a file when it wrote it."""
+    found = re.search(r"part-([0-9]+)[^/]*$", path)
+    return int(found[1]) if found else 0
+
+
 def sequences(docs: DataFrame, vocab: Vocabulary, length: int = LENGTH) -> DataFrame:
     """(part, file, row, pos, doc_id, seq_no, n_tokens, record): records without their filling. pos counts the sequences of a run, that is, of consecutive rows of a file in one task, from row `row` on."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
     kind = f"<u{vocab.width}"
-    types = {"part": pa.int32(), "file": pa.int64(), "row": pa.int64(), "pos": pa.int64(), "doc_id": pa.int64(), "seq_no": pa.int32(), "n_tokens": pa.int32(), "record": pa.binary()}
+    types = {"part": pa.int32(), "file": pa.string(), "row": pa.int64(), "pos": pa.int64(), "doc_id": pa.int64(), "seq_no": pa.int32(), "n_tokens": pa.int32(), "record": pa.binary()}
 
     def make():
         encode, end = shared.value.encoding().encode_ordinary, shared.value.end
@@ -172,7 +178,7 @@ def sequences(docs: DataFrame, vocab: Vocabulary, length: int = LENGTH) -> DataF
 
         return work
 
-    schema = "part int, file long, row long, pos long, doc_id long, seq_no int, n_tokens int, record binary"
+    schema = "part int, file string, row long, pos long, doc_id long, seq_no int, n_tokens int, record binary"
     return over_arrow(in_files(docs), schema, make)
 
 
@@ -181,12 +187,12 @@ def token_records(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH,
     spark = docs.sparkSession
     vocab = vocabulary(path)
     table = materialise(sequences(docs, vocab, length), "sequences")
-    runs = sorted(tuple(r) for r in table.groupBy("file", "row", "part").count().collect())
+    runs = sorted((tuple(r) for r in table.groupBy("file", "row", "part").count().collect()), key=lambda r: (_written(r[0]), r))
     starts, total = [], 0
     for file, row, part, n in runs:
         starts.append((file, row, part, total))
         total += n
-    offsets = spark.createDataFrame(starts, "of_file long, of_row long, of_part int, start long")
+    offsets = spark.createDataFrame(starts, "of_file string, of_row long, of_part int, start long")
     offsets = F.broadcast(offsets) if len(starts) <= MOST_BROADCAST else offsets
     shuffle = Windows(max(total, 1), windows, key)
 
@@ -247,33 +253,36 @@ def read_slots(spark: SparkSession, path: str, start: int = 0, length: int = LEN
         shard, skip = shard + 1, 0
 
 
+def _little(raw: Column, first: int, n: int) -> Column:
+    """A signed little-endian integer of n bytes."""
+    digits = F.hex(F.substring(raw, first, n))
+    value = F.conv(F.concat(*[F.substring(digits, 2 * i - 1, 2) for i in range(n, 0, -1)]), 16, -10).cast("long")
+    return value if n == 8 else F.when(value >= 1 << (8 * n - 1), value - (1 << 8 * n)).otherwise(value)
+
+
+def _pieces(n: int, stride: int) -> Column:
+    """(slot, record) of every n records of a column of many."""
+    numbers = F.sequence(F.lit(0).cast("long"), F.ceil(F.length("record") / (n * stride)) - 1)
+    return F.transform(numbers, lambda i: F.struct((F.col("slot") + i * n).alias("slot"), F.substring(F.col("record"), (i * n * stride + 1).cast("int"), F.lit(n * stride)).alias("record")))
+
+
 def read_shards(spark: SparkSession, path: str, length: int = LENGTH, width: int = 2, shard_records: int = SHARD_RECORDS) -> DataFrame:
-    """(shard, slot, doc_id, seq_no, n_tokens, record) of all shard files, each file's in slot order."""
+    """(shard, slot, doc_id, seq_no, n_tokens, record) of all shard files, each file's in slot order. A task holds a file at a time.
+
+    Files are split in steps, since each piece that is taken from a value costs a copy of the value.
+    """
     body = HEADER + length * width
     stride = body + 1
-    fields = np.dtype([("doc_id", "<i8"), ("seq_no", "<i4"), ("n_tokens", "<i4"), ("ids", f"V{length * width}"), ("feed", "V1")])
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    names = ["shard", "slot", "doc_id", "seq_no", "n_tokens", "record"]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, shard in enumerate(batch.column("shard").to_pylist()):
-                content = batch.column("content")[file].as_buffer()
-                if content.size % stride:
-                    raise ValueError(f"shard {shard} is cut: {content.size} bytes are no multiple of {stride}")
-                for lo in range(0, content.size // stride, 1024):
-                    part = content[lo * stride : min((lo + 1024) * stride, content.size)]
-                    head = np.frombuffer(part, fields)
-                    n, raw = len(head), part.to_pybytes()
-                    records = [raw[k * stride : k * stride + body] for k in range(n)]
-                    ids = pa.array(head["doc_id"], pa.int64(), mask=head["n_tokens"] < 0)
-                    slots = shard * shard_records + np.arange(lo, lo + n)
-                    columns = [np.full(n, shard, np.int32), slots, ids, np.ascontiguousarray(head["seq_no"]), np.abs(head["n_tokens"]), records]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types, strict=True)], names=names)
-
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
-    shard = F.regexp_extract("path", r"/shard=([0-9]+)/", 1).cast("int")
-    return files.select(shard.alias("shard"), "content").mapInArrow(work, "shard int, slot long, doc_id long, seq_no int, n_tokens int, record binary")
+    cut = F.raise_error(F.concat(F.lit("a shard is cut, its bytes are no multiple of the stride: "), F.col("path"))).cast("long")
+    slot = F.regexp_extract("path", r"/shard=([0-9]+)/", 1).cast("long") * shard_records
+    found = files.select(F.when(F.col("length") % stride != 0, cut).otherwise(slot).alias("slot"), F.col("content").alias("record"))
+    for n in (512, 24, 1):
+        found = found.where(F.length("record") > 0).select(F.inline(_pieces(n, stride)))
+    found = found.withColumn("record", F.substring(F.col("record"), 1, body))
+    told = found.withColumns({"n": _little(F.col("record"), 13, 4).cast("int"), "doc_id": _little(F.col("record"), 1, 8), "seq_no": _little(F.col("record"), 9, 4).cast("int")})
+    shard = F.floor(F.col("slot") / shard_records).cast("int")
+    return told.select(shard.alias("shard"), "slot", F.when(F.col("n") > 0, F.col("doc_id")).alias("doc_id"), "seq_no", F.abs("n").alias("n_tokens"), "record")
 
 
 def token_shards(docs: DataFrame, path: str | None = None, windows: int = 1) -> DataFrame:

@@ -7,6 +7,8 @@ import itertools
 import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -47,6 +49,16 @@ def test_slots_follow_the_files(spark, tmp_path):
     assert max(abs(r.slot - due[r.doc_id, r.seq_no]) for r in rows) < -(-len(rows) // 64)
 
 
+def test_files_of_any_name(spark, tmp_path):
+    """Files that Spark did not name, and files of the same name in two folders, in one task."""
+    for k, name in enumerate(("a/x.parquet", "b/x.parquet", "a/y.parquet")):
+        (tmp_path / "d" / name).parent.mkdir(parents=True, exist_ok=True)
+        pq.write_table(pa.table({"doc_id": [10 * k + i for i in range(5)], "text": ["word"] * 5}), tmp_path / "d" / name)
+    docs = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "d")).coalesce(1)
+    rows = tokens.token_records(docs, length=16).collect()
+    assert sorted(r.slot for r in rows) == list(range(15)) and len({r.doc_id for r in rows}) == 15
+
+
 def test_shards_round_trip(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, f"text {i} with some\nwords é " * (i % 7)) for i in range(60)], "doc_id long, text string")
     records = tokens.token_records(docs, length=16, shard_records=25)
