@@ -93,8 +93,8 @@ class Field:
         good, pairs, real, _ = self._messages(x, counts, seen)
         return good, pairs, real
 
-    def _messages(self, x: np.ndarray, counts: np.ndarray, seen: np.ndarray | None) -> tuple:
-        """`passes` and, for chains that are passed line by line, the log of their total weight."""
+    def _messages(self, x: np.ndarray, counts: np.ndarray, seen: np.ndarray | None = None, moved: bool = True) -> tuple:
+        """`passes`, without the transitions if they are not asked for, and the log of the total weight of chains that are passed line by line."""
         u, real = self.padded(x, counts)
         if seen is not None:
             u = np.where(real, u + seen[None, :], 0.0)
@@ -119,6 +119,8 @@ class Field:
                 back[i] = np.where(real[i + 1][:, None], b / b.sum(1, keepdims=True), 1.0)
         both = ahead * back
         good = both[:, :, 1] / both.sum(2)
+        if not moved:
+            return good, None, real, total
         pairs = ahead[:-1, :, :, None] * move[None, None] * (node[1:] * back[1:])[:, :, None, :]
         pairs /= np.maximum(pairs.sum((2, 3), keepdims=True), 1e-300)
         return good, pairs, real, total
@@ -143,7 +145,7 @@ class Field:
         ahead, back = ahead.sum(2), back.sum(3)
         return ahead / ahead.sum(2, keepdims=True), back / back.sum(2, keepdims=True)
 
-    def score(self, x: np.ndarray, size: np.ndarray, counts: np.ndarray, most: int = 200_000) -> np.ndarray:
+    def score(self, x: np.ndarray, size: np.ndarray, counts: np.ndarray, most: int = 50_000) -> np.ndarray:
         """Length-weighted marginals. Texts go through in groups of like length, so that padding stays small."""
         out = np.empty(len(counts))
         first = np.concatenate([[0], np.cumsum(counts)[:-1]])
@@ -155,7 +157,7 @@ class Field:
                 end += 1
             some = order[at:end]
             rows = np.concatenate([np.arange(first[i], first[i] + counts[i]) for i in some])
-            good, _, real = self.passes(x[rows], counts[some])
+            good, _, real, _ = self._messages(x[rows], counts[some], moved=False)
             weight = np.zeros(real.shape)
             weight.T[real.T] = np.maximum(size[rows], 1)
             out[some] = (good * weight).sum(0) / weight.sum(0)
@@ -250,7 +252,7 @@ def scorer(field: Field, spark: SparkSession):
         for raw in raw_texts(texts):
             some.append(raw or b"")
             held += len(some[-1])
-            if held > 1 << 22:  # about 4 MB at a time
+            if held > 1 << 20:  # about 1 MB at a time
                 scores.append(shared.value.score(*line_features(some)))
                 some, held = [], 0
         if some:
