@@ -55,10 +55,10 @@ def is_long(cls: Column) -> Column:
 
 def page_limits(pages: DataFrame, s: Settings, doc: str = "doc_id", page: str = "page_no", head: int | None = None, tail: int | None = None) -> DataFrame:
     """The first and last pages of each document; all of a document with no more than both together. Column n_pages is the document's count."""
-    from pyspark.sql import Window
-
     head, tail = s.long_head_pages if head is None else head, s.long_tail_pages if tail is None else tail
-    counted = pages.withColumn("n_pages", F.count("*").over(Window.partitionBy(doc)))
+    # a partial count and a join that may be split, not a window: a document with a large part of all pages is no task of its own
+    counts = pages.groupBy(F.col(doc).alias("_of")).agg(F.count("*").alias("n_pages"))
+    counted = pages.join(counts, F.col(doc).eqNullSafe(F.col("_of"))).drop("_of")
     return counted.where((F.col("n_pages") <= head + tail) | (F.col(page) < head) | (F.col(page) >= F.col("n_pages") - tail))
 
 

@@ -13,9 +13,6 @@ from ..sources.files import scan_file, scan_tree
 from . import sinks
 from .ingest import pdf_info, run
 
-#: Files that one summary object may hold; larger runs get a line for each file.
-MOST_SUMMARY = 100_000
-
 
 def arguments(args: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="foliospark", description="Classify documents, parse them and write Markdown with a summary.")
@@ -23,6 +20,7 @@ def arguments(args: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("output")
     p.add_argument("--profile", choices=sorted(PROFILES), default="engine")
     p.add_argument("--file", action="store_true", help="the input is one file")
+    p.add_argument("--one-summary", action="store_true", help="write the summary as one JSON object too, which one task holds")
     p.add_argument("--classify-only", action="store_true", help="write the manifest alone")
     for name, kind in (("vlm-text-threshold", int), ("long-pdf-threshold", int), ("scanned-long-threshold", int), ("scan-char-threshold", int), ("long-head-pages", int), ("long-tail-pages", int), ("vlm-base-url", str), ("vlm-model", str), ("vlm-max-tokens", int), ("vlm-image-dpi", int), ("vlm-max-workers", int)):
         p.add_argument(f"--{name}", type=kind)
@@ -35,7 +33,7 @@ def main(args: list[str] | None = None) -> int:
     from ..operators.classify import classify
 
     a = vars(arguments(args))
-    source, output, profile, single, only = (a.pop(k) for k in ("input", "output", "profile", "file", "classify_only"))
+    source, output, profile, single, only, one = (a.pop(k) for k in ("input", "output", "profile", "file", "classify_only", "one_summary"))
     s = settings(profile, **a)
     spark = SparkSession.builder.getOrCreate()
     log, began = logging.getLogger("foliospark"), time.time()
@@ -43,13 +41,12 @@ def main(args: list[str] | None = None) -> int:
     if only:
         sinks.manifest(classify(pdf_info(files, s), s)).write.mode("overwrite").parquet(f"{output}/manifest")
         return 0
-    sinks.write_results(run(files, s), f"{output}/results")
+    sinks.write_results(run(files, s, scratch=f"{output}/_work"), f"{output}/results")
     results = spark.read.parquet(f"{output}/results")
     sinks.write_documents(results, f"{output}/documents", s)
-    if results.count() <= MOST_SUMMARY:
+    summary_lines(results).write.mode("overwrite").text(f"{output}/summary_lines")
+    if one:
         sinks.write_summary(results, f"{output}/summary", time.time() - began)
-    else:
-        summary_lines(results).write.mode("overwrite").text(f"{output}/summary_lines")
     failed = results.where("NOT ok").count()
     log.info("%s failed, %.1f s", failed, time.time() - began)
     return int(single and failed > 0)

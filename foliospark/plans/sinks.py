@@ -17,9 +17,14 @@ def write_results(results: DataFrame, path: str) -> None:
 
 
 def write_documents(results: DataFrame, path: str, s: Settings) -> None:
-    """Texts by output name, a folder for each document (Spark names the file in it)."""
+    """(output_name, doc_id, content) of all texts in large files, dealt by size and not by document: a folder or file for each would burden the commit. `export_documents` makes files of them."""
     named = numbered_names(results.where("ok").withColumn("base", F.concat(stem(F.col("source")), F.lit(s.output_suffix))), "base", "doc_id", "output_name")
-    named.select("output_name", F.col("content").alias("value")).write.mode("overwrite").option("lineSep", "\u0000").partitionBy("output_name").text(path)
+    named.select("output_name", "doc_id", "content").write.mode("overwrite").parquet(path)
+
+
+def export_documents(documents: DataFrame, path: str) -> None:
+    """A folder for each document that is given, with its text in it: for the documents of one batch, not for a corpus."""
+    documents.select("output_name", F.col("content").alias("value")).write.mode("overwrite").option("lineSep", "\u0000").partitionBy("output_name").text(path)
 
 
 def manifest(files: DataFrame) -> DataFrame:

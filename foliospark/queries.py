@@ -7,6 +7,8 @@ items; a user's events are a job's.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,11 +91,10 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
 def head_tail(spark: SparkSession, sf: str) -> DataFrame:
     """Kept and dropped pages of each document: the head and the tail, and the rest."""
     pages = _pages(spark, sf).select("doc_id", "page_no")
-    kept = classify.page_limits(pages, S)
-    dropped = pages.join(kept.select("doc_id", "page_no"), ["doc_id", "page_no"], "left_anti")
-    a = kept.groupBy("doc_id").agg(F.count("*").alias("n_kept"), F.max("n_pages").alias("n_pages"))
-    b = dropped.groupBy("doc_id").agg(F.count("*").alias("n_dropped"), F.min("page_no").cast("long").alias("first_dropped"))
-    return a.join(b, "doc_id", "left").select("doc_id", "n_pages", "n_kept", F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"), "first_dropped")
+    head = S.long_head_pages
+    kept = classify.page_limits(pages, S).groupBy("doc_id").agg(F.count("*").alias("n_kept"), F.max("n_pages").alias("n_pages"))
+    told = kept.withColumn("n_dropped", F.col("n_pages") - F.col("n_kept"))
+    return told.select("doc_id", "n_pages", "n_kept", "n_dropped", F.when(F.col("n_dropped") > 0, F.lit(head).cast("long")).alias("first_dropped"))
 
 
 _HEAD_TAIL_SQL = """
@@ -101,6 +102,37 @@ SELECT doc_id, p AS n_pages, least(p, 20) AS n_kept, greatest(p - 20, 0) AS n_dr
 FROM (SELECT doc_id, ((length(text) + 99) // 100)::BIGINT AS p FROM documents) WHERE p > 0"""
 
 
+def ingest_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run over CSV files, one for each nation, that are written from the tables first: scan, class, parse, check, front matter, table count."""
+    from .plans import ingest
+    from .sources import files
+
+    folder = scratch(spark, "ingest")
+    rows = _table(spark, sf, "nation").select(F.concat_ws("\n", F.lit("key,region"), F.concat_ws(",", "n_nationkey", "n_regionkey")).alias("value"), F.regexp_replace("n_name", " ", "_").alias("name"))
+    rows.repartition(4).write.partitionBy("name").text(f"{folder}/in")
+    found = files.scan_tree(spark, f"{folder}/in").where(F.col("path").contains("/name="))
+    # Spark names the files; the folder tells the document, and every one is a CSV file
+    named = found.withColumns({"name": F.concat(F.regexp_extract("path", "/name=([^/]+)/", 1), F.lit(".csv")), "ext": F.lit(".csv")})
+    out = ingest.run(named, S, scratch=f"{folder}/work")
+    return out.select("source", "doc_class", "parser", "content", "ok", "error", "table_count", "cpu_fallback")
+
+
+_INGEST_SQL = r"""
+SELECT replace(n_name, ' ', '_') || '.csv' AS source, 'OFFICE' AS doc_class, 'office' AS parser,
+  '---' || chr(10) || 'source: ' || replace(n_name, ' ', '_') || '.csv' || chr(10) || 'parser: office' || chr(10) || '---' || chr(10) || chr(10)
+    || '| key | region |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || n_nationkey || ' | ' || n_regionkey || ' |' AS content,
+  true AS ok, NULL::VARCHAR AS error, 1 AS table_count, false AS cpu_fallback
+FROM nation"""
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or a local one in a local session."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base or tempfile.mkdtemp(prefix='foliospark-')}/{name}-{uuid.uuid4().hex}"
+
+
 def head_tail_turns(spark: SparkSession, sf: str) -> DataFrame:
     return classify.page_limits(_table(spark, sf, "conversations").select("conv_id", "turn", "role"), S, "conv_id", "turn", 2, 2)
 
@@ -475,6 +507,7 @@ ALL: dict[str, tuple[Query, str]] = {
     "q_route_counts": (route_counts, _ROUTE_SQL),
     "q_sample_pages": (sample_pages, _SAMPLE_SQL),
     "q_head_tail": (head_tail, _HEAD_TAIL_SQL),
+    "q_ingest_run": (ingest_run, _INGEST_SQL),
     "q_head_tail_turns": (head_tail_turns, _TURNS_SQL),
     "q_assemble_pages": (assemble_pages, _ASSEMBLE_SQL),
     "q_assemble_files": (assemble_files, _FILES_CONCAT_SQL),

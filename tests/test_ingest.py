@@ -88,6 +88,10 @@ def test_run(spark, folder, tmp_path):
     assert rows["two.pdf"].doc_class == "PDF_VLM_TEXT" and rows["f.csv"].table_count == 1
     results = spark.read.parquet(str(tmp_path / "r"))
     sinks.write_documents(results, str(tmp_path / "docs"), S)
+    documents = spark.read.parquet(str(tmp_path / "docs"))
+    assert documents.count() == 11 and documents.where("output_name = 'six.txt'").count() == 1
+    sinks.export_documents(documents, str(tmp_path / "export"))
+    assert (tmp_path / "export" / "output_name=six.txt").exists()
     sinks.write_summary(results, str(tmp_path / "s"), 1.234)
     value = json.loads(spark.read.text(str(tmp_path / "s")).first()[0])
     assert value["total_elapsed_s"] == 1.23 and len(value["files"]) == 16 and "pages" in value["files"][0]
@@ -106,6 +110,44 @@ def test_second_pass(spark, folder):
     assert out.content.endswith("clean fine") and out.ok
 
 
+class Counted:
+    """Writes down each call."""
+
+    def __init__(self, s, folder):
+        self.folder = folder
+
+    def parse(self, name, ext, content, pages, force_ocr):
+        import uuid
+
+        (self.folder / f"{name}-{force_ocr}-{uuid.uuid4().hex}").touch()
+        return Parsed("plain", 1, 0) if force_ocr or name != "f.csv" else Parsed("\x00" * 40, 1, 0)
+
+
+def test_each_document_is_parsed_once(spark, folder, tmp_path):
+    """And once more where its text is garbage; no content is shuffled on the way."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    registry = Registry().register("office", lambda s: Counted(s, calls)).register("vision", lambda s: Counted(s, calls))
+    out = run(sources.scan_tree(spark, str(folder)), S, registry, scratch=str(tmp_path / "work"))
+    assert out.count() == 16 and out.where("source = 'f.csv' and ok").count() == 1
+    told = sorted(p.name.rsplit("-", 1)[0] for p in calls.iterdir())
+    assert len(told) == len(set(told)) + told.count("copy.csv-False") - 1 and "f.csv-True" in told and sum(t.endswith("-True") for t in told) == 1
+    plan = run(sources.scan_tree(spark, str(folder)), S, registry, second_pass=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_pages_side_by_side():
+    """Pages of a document are asked for at the same time and put together in order."""
+    import threading
+
+    s = settings(env={}, vlm_max_workers=4)
+    meet = threading.Barrier(3, timeout=10)
+    v = VisionBackend(s, post=lambda p: meet.wait() or "seen", render=lambda c, page, dpi: b"x")
+    v.post = lambda p: f"seen {meet.wait() >= 0}"
+    got = v.parse("a.pdf", ".pdf", fx.pdf([""] * 3), None, False)
+    assert got.pages == 3 and got.text == "seen True\n\n---\n*Page 2*\n\nseen True\n\n---\n*Page 3*\n\nseen True"
+
+
 def test_retries():
     waits, calls = [], []
 

@@ -120,4 +120,4 @@ def test_json_log():
     except ValueError:
         log.exception("job %s", 7)
     entry = json.loads(out.getvalue())
-    assert entry["msg"] == "job 7" and entry["level"] == "ERROR" and "ValueError: bad" in entry["exc"]
+    assert entry["text"] == "job 7" and entry["severity"] == "error" and "ValueError: bad" in entry["error"] and entry["source"].endswith(str(entry["source"].split(":")[-1]))
