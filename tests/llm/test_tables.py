@@ -165,6 +165,47 @@ def test_pipeline(spark, docs):
     assert len({len(r.record) for r in out}) == 1 and {r.doc_id for r in out} <= set(docs)
 
 
+def test_pipeline_keeps_the_curriculum(spark):
+    """Slots follow the documents' places in the mix, up to a window."""
+    import corpus_pipeline as P
+    from foliospark.llm.common import materialise
+
+    mixed = materialise(P.mixing_stage(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF), "mixed")
+    names = sorted({r[0] for r in mixed.select(F.col("_metadata.file_name")).collect()}, key=lambda n: int(n.split("-")[1]))
+    due = [r.doc_id for n in names for r in mixed.where(F.col("_metadata.file_name") == n).select("doc_id", F.col("_metadata.row_index").alias("row")).orderBy("row").collect()]
+    slots: dict[int, list[int]] = {}
+    for r in P.token_stage(spark, mixed, SF).where("seq_no = 0").select("doc_id", "slot").orderBy("slot").collect():
+        slots.setdefault(r.doc_id, []).append(r.slot)
+    seen: dict[int, int] = {}
+    got = []
+    for d in due:
+        got.append(slots[d][seen.setdefault(d, 0)])
+        seen[d] += 1
+    assert sum(map(len, slots.values())) == len(due)
+    ranks = np.argsort(np.argsort(got))
+    assert np.corrcoef(ranks, np.arange(len(due)))[0, 1] > 0.95
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Every stage takes nulls, empty texts, repeated rows, other columns and empty tables."""
+    import corpus_pipeline as P
+
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "a fine line of words that is kept", "en", "s", 3), (3, "a fine line of words that is kept", "en", "s", 3), (None, "a text without any id at all", None, "s", 9), (4, "word", "en", None, 4)]
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, None), (2, "word")], "item_id long, text string")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit("x") for c in ("fp", "node", "position", "slot", "file", "row", "id", "digest")}).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    for some in (docs, docs.limit(0)):
+        now = some
+        for name, stage in P.STAGES[:-1]:
+            out = P.materialise(stage(spark, now, str(tmp_path)), name)
+            assert out.columns == docs.columns
+            now = out
+        last = P.token_stage(spark, now, str(tmp_path)).collect()
+        assert sorted(r.slot for r in last) == list(range(len(last))) and (len(last) > 0) == (some is docs)
+
+
 def test_stages_take_effect(spark):
     import corpus_pipeline as P
 
