@@ -78,14 +78,14 @@ def keep_fraction(key: Column, fraction: Column | float, seed: int = 7) -> Colum
     return digest_part(key, seed=seed) < fraction
 
 
-def over_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]]) -> DataFrame:
-    """mapInArrow with a function that is made once for each task, so that models are unpacked once."""
+def over_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]], rows: int = 1024) -> DataFrame:
+    """mapInArrow with a function that is made once for each task, so that models are unpacked once. It gets at most `rows` rows at a time, so that what it makes of them is not held for a whole batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            if batch.num_rows:
-                out = work(batch)
+            for lo in range(0, batch.num_rows, rows):
+                out = work(batch.slice(lo, rows))
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
     return df.mapInArrow(run, schema)

@@ -384,7 +384,7 @@ def links(table: DataFrame, s: Setting = CONTRACT, hot: int | None = None) -> Da
 
     rows = table.select("fp", "node")
     dealt = rows.mapInArrow(deal, "task long, value long, fp binary, node long")
-    crowded = over_arrow(rows, "of long, n long", count).groupBy("of").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
+    crowded = over_arrow(rows, "of long, n long", count, rows=1 << 20).groupBy("of").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
     crowded = materialise(crowded.select("of", F.ceil(F.col("n") / hot).cast("int").alias("blocks")), "crowded", small=True)
     if crowded.isEmpty():
         dealt = dealt.withColumns({"i": F.lit(0), "j": F.lit(0)})
