@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import tempfile
 import uuid
@@ -78,6 +79,15 @@ def keep_fraction(key: Column, fraction: Column | float, seed: int = 7) -> Colum
     return digest_part(key, seed=seed) < fraction
 
 
+def give_back() -> None:
+    """Returns freed memory to the system at a task's end: Python workers are kept for later stages and would hold it through them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def over_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]], rows: int = 1024) -> DataFrame:
     """mapInArrow with a function that is made once for each task, so that models are unpacked once. It gets at most `rows` rows at a time, so that what it makes of them is not held for a whole batch."""
 
@@ -87,6 +97,8 @@ def over_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Recor
             for lo in range(0, batch.num_rows, rows):
                 out = work(batch.slice(lo, rows))
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        del work
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, over_arrow
+from .common import give_back, load, over_arrow
 
 SIMILARITY, RECALL, BLOCK_ITEMS = 0.8, 0.99, 20_000
 WALKS, SAMPLES, MOST_WALKS = 2, 8, 24
@@ -321,7 +321,9 @@ def _clean(shared):
     @F.arrow_udf("boolean")
     def clean(texts: pa.Array) -> pa.Array:
         out = np.ones(len(texts), bool)
-        out[[m[0] for m in match(shared.value, texts.to_pylist())]] = False
+        for lo in range(0, len(texts), 1024):
+            out[[lo + m[0] for m in match(shared.value, texts.slice(lo, 1024).to_pylist())]] = False
+        give_back()
         return pa.array(out)
 
     return clean

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep_fraction, load, over_arrow, raw_texts
+from .common import give_back, keep_fraction, load, over_arrow, raw_texts
 from .langid import remainder
 
 SAMPLE_ROWS, SAMPLE_LINES, STEPS, L2, RATE = 4000, 400, 150, 1e-4, 0.1
@@ -257,6 +257,8 @@ def scorer(field: Field, spark: SparkSession):
                 some, held = [], 0
         if some:
             scores.append(shared.value.score(*line_features(some)))
+        some.clear()
+        give_back()
         return pa.array(np.clip(np.concatenate([*scores, np.zeros(0)]), 0, 1))
 
     return score

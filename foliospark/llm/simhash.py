@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, materialise, over_arrow, raw_texts
+from .common import give_back, load, materialise, over_arrow, raw_texts
 from .components import components
 
 SEED = 42
@@ -381,6 +381,9 @@ def links(table: DataFrame, s: Setting = CONTRACT, hot: int | None = None) -> Da
                 held = rows.combine_chunks().to_batches()
         if held and (rows := pa.Table.from_batches(held)).num_rows:
             yield from done(rows.combine_chunks(), rows.num_rows)
+            del rows
+        held.clear()
+        give_back()
 
     rows = table.select("fp", "node")
     dealt = rows.mapInArrow(deal, "task long, value long, fp binary, node long")
@@ -464,6 +467,8 @@ def confirmed(docs: DataFrame, table: DataFrame, proposed: DataFrame, s: Setting
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         found = np.array(alike([np.frombuffer(x, np.uint64) for x in pdf["shingles"]], s.similarity), np.int64).reshape(-1, 2)
         node = pdf["node"].to_numpy()
+        if len(pdf) > 256:
+            give_back()
         return pd.DataFrame({"u": node[found[:, 0]], "v": node[found[:, 1]]})
 
     return dealt.groupBy("c", "i", "j").applyInPandas(decide, "u long, v long")
