@@ -260,26 +260,20 @@ def _little(raw: Column, first: int, n: int) -> Column:
     return value if n == 8 else F.when(value >= 1 << (8 * n - 1), value - (1 << 8 * n)).otherwise(value)
 
 
-def _pieces(n: int, stride: int) -> Column:
-    """(slot, record) of every n records of a column of many."""
-    numbers = F.sequence(F.lit(0).cast("long"), F.ceil(F.length("record") / (n * stride)) - 1)
-    return F.transform(numbers, lambda i: F.struct((F.col("slot") + i * n).alias("slot"), F.substring(F.col("record"), (i * n * stride + 1).cast("int"), F.lit(n * stride)).alias("record")))
-
-
 def read_shards(spark: SparkSession, path: str, length: int = LENGTH, width: int = 2, shard_records: int = SHARD_RECORDS) -> DataFrame:
     """(shard, slot, doc_id, seq_no, n_tokens, record) of all shard files, each file's in slot order. A task holds a file at a time.
 
-    Files are split in steps, since each piece that is taken from a value costs a copy of the value.
+    Records are numbered by an explode and cut out behind it, all in one generated loop that loads a file's content once. A lambda over
+    the content would copy all of it for each record.
     """
     body = HEADER + length * width
     stride = body + 1
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
     cut = F.raise_error(F.concat(F.lit("a shard is cut, its bytes are no multiple of the stride: "), F.col("path"))).cast("long")
     slot = F.regexp_extract("path", r"/shard=([0-9]+)/", 1).cast("long") * shard_records
-    found = files.select(F.when(F.col("length") % stride != 0, cut).otherwise(slot).alias("slot"), F.col("content").alias("record"))
-    for n in (512, 24, 1):
-        found = found.where(F.length("record") > 0).select(F.inline(_pieces(n, stride)))
-    found = found.withColumn("record", F.substring(F.col("record"), 1, body))
+    start = F.when(F.col("length") % stride != 0, cut).otherwise(slot)
+    found = files.where(F.col("length") > 0).select(start.alias("start"), "content", F.explode(F.sequence(F.lit(0), (F.col("length") / stride).cast("int") - 1)).alias("at"))
+    found = found.select((F.col("start") + F.col("at")).alias("slot"), F.substring(F.col("content"), F.col("at") * stride + 1, F.lit(body)).alias("record"))
     told = found.withColumns({"n": _little(F.col("record"), 13, 4).cast("int"), "doc_id": _little(F.col("record"), 1, 8), "seq_no": _little(F.col("record"), 9, 4).cast("int")})
     shard = F.floor(F.col("slot") / shard_records).cast("int")
     return told.select(shard.alias("shard"), "slot", F.when(F.col("n") > 0, F.col("doc_id")).alias("doc_id"), "seq_no", F.abs("n").alias("n_tokens"), "record")
