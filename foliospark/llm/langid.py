@@ -208,7 +208,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     if not told:
         return None
     most = F.create_map(*[F.lit(x) for lang, (n, least) in told.items() for x in (lang, max(least, sample_rows / n))])[F.col("lang")]
-    grams = count_grams(rows.where(F.col("part") <= most).select("lang", "text").distinct())
+    # a task for the sample of each language: every task counts its own grams, so many small ones would repeat the frequent grams
+    sample = rows.where(F.col("part") <= most).select("lang", "text").distinct().coalesce(len(told))
+    grams = count_grams(sample)
     return fit(sorted((r[0], r[1], r[2]) for r in grams.collect()))
 
 
