@@ -8,6 +8,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +70,18 @@ def materialise(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries within it remove their shuffle files when they end; else those stay until the driver happens to collect garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def digest_part(*keys: Column, seed: int = 7) -> Column:
     """From 0 to below 1 by the keys alone, the same on every run and at every partitioning."""
     return F.pmod(F.xxhash64(F.lit(seed), *[k.cast("string") for k in keys]), F.lit(1 << 30)).cast("double") / float(1 << 30)

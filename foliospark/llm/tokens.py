@@ -16,6 +16,10 @@ last stage write the shards to the shared folder and return the rows that `read_
 Tokenised sequences are written once to the shared folder; the table of counts by run of rows, a row for each split of a file, gives
 every sequence its number. The tokenizer's ranks are a file of fixed size, read by the driver and broadcast.
 
+Writing. Shards are written in a few turns, each of which deals the sequences of its own shards alone and frees its shuffle files at its
+end. A turn takes a fixed share of the shards that are left, so disk never holds a shuffle of all sequences beside all shards: while
+much is shuffled, few shards stand. The marker of success comes with the last turn.
+
 Defined cases: a null or empty text is one sequence with the end-of-text id alone; a null doc_id is null again when
 it is read; repeated rows are sequences of their own; an empty table gives no records. Extra columns are ignored.
 """
@@ -23,6 +27,7 @@ it is read; repeated rows are sequences of their own; an empty table gives no re
 from __future__ import annotations
 
 import base64
+import math
 import re
 import struct
 from collections.abc import Iterator
@@ -36,7 +41,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, materialise, over_arrow, scratch_path
+from .common import freed_shuffles, load, materialise, over_arrow, scratch_path
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the byte-level vocabulary splits a text before merging (a fixed value of that vocabulary).
@@ -45,6 +50,8 @@ LENGTH, SHARD_RECORDS, KEY, ROUNDS = 1024, 8192, 20_250_101, 6
 #: Windows of a run that keeps the documents' order; a table of runs with at most MOST_BROADCAST rows is broadcast.
 WINDOWS, MOST_BROADCAST = 64, 100_000
 HEADER = 16
+#: Writes of the shards; each takes that share of the shards that are left, the last all of them.
+TURNS, TURN_SHARE = 4, 0.6
 
 
 class Feistel:
@@ -182,8 +189,24 @@ def sequences(docs: DataFrame, vocab: Vocabulary, length: int = LENGTH) -> DataF
     return over_arrow(in_files(docs), schema, make)
 
 
-def token_records(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH, shard_records: int = SHARD_RECORDS, key: int = KEY, windows: int = 1) -> DataFrame:
-    """(shard, slot, doc_id, seq_no, n_tokens, record) of full stride, a partition for each shard, in slot order."""
+@dataclass
+class Placed:
+    """Sequences with their slot and shard, the number of shards, and what fills a record to its stride."""
+
+    table: DataFrame
+    shards: int
+    stride: int
+    fill: bytes
+
+    def records(self, first: int = 0, end: int | None = None) -> DataFrame:
+        """(shard, slot, doc_id, seq_no, n_tokens, record) of full stride of the shards from `first` to below `end`, a partition for each, in slot order."""
+        end = self.shards if end is None else end
+        some = self.table if (first, end) == (0, self.shards) else self.table.where((F.col("shard") >= first) & (F.col("shard") < end))
+        ordered = some.repartitionById(end - first, F.col("shard") - first).sortWithinPartitions("shard", "slot")  # the order that a write by shard asks for, so it sorts no more
+        return ordered.withColumn("record", F.rpad("record", self.stride, F.lit(self.fill)))
+
+
+def placed_sequences(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH, shard_records: int = SHARD_RECORDS, key: int = KEY, windows: int = 1) -> Placed:
     spark = docs.sparkSession
     vocab = vocabulary(path)
     table = materialise(sequences(docs, vocab, length), "sequences")
@@ -200,18 +223,34 @@ def token_records(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH,
     def slot(number: pd.Series) -> pd.Series:
         return pd.Series(shuffle.slot(number.to_numpy()))
 
+    slot = slot.asNondeterministic()  # it is not; but so a filter by shard stays above it and it is called once, not once for the filter and again for the column
     same = (F.col("file") == F.col("of_file")) & (F.col("row") == F.col("of_row")) & (F.col("part") == F.col("of_part"))
     placed = table.join(offsets, same).withColumn("slot", slot(F.col("start") + F.col("pos")))
-    shards = max(1, -(-total // shard_records))
     dealt = placed.withColumn("shard", F.floor(F.col("slot") / shard_records).cast("int")).select("shard", "slot", "doc_id", "seq_no", "n_tokens", "record")
-    fill = F.lit(vocab.end.to_bytes(vocab.width, "little"))
-    ordered = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot")  # the order that a write by shard asks for, so it sorts no more
-    return ordered.withColumn("record", F.rpad("record", HEADER + length * vocab.width, fill))
+    return Placed(dealt, max(1, -(-total // shard_records)), HEADER + length * vocab.width, vocab.end.to_bytes(vocab.width, "little"))
+
+
+def token_records(docs: DataFrame, path: str = TOKENIZER, length: int = LENGTH, shard_records: int = SHARD_RECORDS, key: int = KEY, windows: int = 1) -> DataFrame:
+    """(shard, slot, doc_id, seq_no, n_tokens, record) of full stride, a partition for each shard, in slot order."""
+    return placed_sequences(docs, path, length, shard_records, key, windows).records()
+
+
+def write_shards(records: DataFrame, path: str, more: bool = False, last: bool = True) -> None:
+    """Shard files shard=K/*.txt of fixed-stride records; any file system that Spark writes to, and Spark's commit protocol. more: adds shards to those there; last: with the marker of success."""
+    writer = records.select(F.col("record").cast("string").alias("value"), "shard").write.mode("append" if more else "error")
+    writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(last).lower())
+    with freed_shuffles(records.sparkSession):
+        writer.option("lineSep", "\n").partitionBy("shard").text(path)
 
 
-def write_shards(records: DataFrame, path: str) -> None:
-    """Shard files shard=K/*.txt of fixed-stride records; any file system that Spark writes to, and Spark's commit protocol."""
-    records.select(F.col("record").cast("string").alias("value"), "shard").write.option("lineSep", "\n").partitionBy("shard").text(path)
+def turns(shards: int) -> Iterator[tuple[int, int]]:
+    """Ranges (first, end) of the shards that are written at a time."""
+    first = 0
+    for k in range(TURNS):
+        end = shards if k == TURNS - 1 else first + math.ceil(TURN_SHARE * (shards - first))
+        if end > first:
+            yield first, end
+        first = end
 
 
 def _shard_file(spark: SparkSession, path: str, shard: int):
@@ -279,11 +318,13 @@ def read_shards(spark: SparkSession, path: str, length: int = LENGTH, width: int
     return told.select(shard.alias("shard"), "slot", F.when(F.col("n") > 0, F.col("doc_id")).alias("doc_id"), "seq_no", F.abs("n").alias("n_tokens"), "record")
 
 
-def token_shards(docs: DataFrame, path: str | None = None, windows: int = 1) -> DataFrame:
+def token_shards(docs: DataFrame, path: str | None = None, length: int = LENGTH, shard_records: int = SHARD_RECORDS, windows: int = 1) -> DataFrame:
     """Writes the shards of documents, to a new folder of the shared one if no path is given, and returns the rows read back."""
     path = path or scratch_path(docs.sparkSession, "shards")
-    write_shards(token_records(docs, windows=windows), path)
-    return read_shards(docs.sparkSession, path, width=vocabulary().width)
+    placed = placed_sequences(docs, length=length, shard_records=shard_records, windows=windows)
+    for first, end in turns(placed.shards):
+        write_shards(placed.records(first, end), path, more=first > 0, last=end == placed.shards)
+    return read_shards(docs.sparkSession, path, length, vocabulary().width, shard_records)
 
 
 def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import dataclasses
 import itertools
 import struct
+import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +82,37 @@ def test_shards_round_trip(spark, tmp_path, monkeypatch):
     assert [s for s, *_ in tokens.read_slots(spark, str(tmp_path / "shards"), len(slots), 16, 2, 25)] == []
 
 
+def test_shards_in_turns(spark, tmp_path, monkeypatch):
+    """A turn shuffles the sequences of its own shards alone, frees them at its end, and the last one marks success."""
+    for shards in (1, 2, 3, 5, 58, 1000):
+        ranges = list(tokens.turns(shards))
+        assert [k for lo, hi in ranges for k in range(lo, hi)] == list(range(shards)) and len(ranges) <= tokens.TURNS
+        assert all(hi - lo <= 0.6 * (shards - lo) + 1 for lo, hi in ranges[:-1]) and (shards < 50 or ranges[-1][1] - ranges[-1][0] <= 0.064 * shards + 1)
+    docs = spark.createDataFrame([(i, f"text {i} with some\nwords é " * (i % 9)) for i in range(150)], "doc_id long, text string")
+    local = [d.toString() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in local for f in Path(d).rglob("shuffle_*")}
+    path, seen = tmp_path / "shards", []
+
+    def write(records, path, real=tokens.write_shards, **kinds):
+        before = files()
+        real(records, path, **kinds)
+        until = time.time() + 20
+        while (left := files() - before) and time.time() < until:  # executors are told to, the driver does not wait
+            time.sleep(0.1)
+        seen.append((records.select("shard").distinct().count(), len(left), (tmp_path / "shards" / "_SUCCESS").exists()))
+
+    monkeypatch.setattr(tokens, "write_shards", write)
+    found = tokens.token_shards(docs, str(path), length=16, shard_records=25).collect()
+    due = tokens.token_records(docs, length=16, shard_records=25).collect()
+    shards = -(-len(due) // 25)
+    assert [n for n, _, _ in seen] == [hi - lo for lo, hi in tokens.turns(shards)] and len(seen) > 2 and len(list(path.glob("shard=*/part-*"))) == shards
+    assert not any(left for _, left, _ in seen) and [marked for *_, marked in seen] == [False] * (len(seen) - 1) + [True]
+    # runs are numbered by the written documents' paths, which differ between calls; what the slots hold does not
+    told = lambda rows: sorted((r.doc_id, r.seq_no, r.n_tokens, bytes(r.record)) for r in rows)
+    assert told(found) == told(due) and sorted(r.slot for r in found) == list(range(len(due)))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def told_forest(fp: np.ndarray, near) -> np.ndarray:
     told = simhash.Forest(len(fp))
     for i in range(len(fp)):
