@@ -10,12 +10,16 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space and words of the contracts that split on it.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bits of a sieve for each row, and in all.
+SIEVE_BITS, MOST_SIEVE_BITS = 16, 1 << 27
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -82,6 +86,29 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def sieve(table: DataFrame, *keys: str) -> Callable[..., Column]:
+    """A test of key columns that is true of all keys of the table (null is a key) and false of nearly all others, so that only rows it holds need an exact join.
+
+    A bitmap of the keys' hashes with 16 to 32 bits for each row; it is bounded, beyond that it holds more rows in vain.
+    """
+    spark = table.sparkSession
+    bits = max(64, min(MOST_SIEVE_BITS, 1 << (SIEVE_BITS * max(1, table.count()) - 1).bit_length()))
+    at = F.xxhash64(*keys).bitwiseAND(F.lit(bits - 1).cast("long"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
+    words = table.select(F.shiftright(at, 6).alias("word"), bit.alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(bits // 64, np.uint64)
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def held(code: pd.Series) -> pd.Series:
+        x = code.to_numpy().astype(np.int64).view(np.uint64) & np.uint64(bits - 1)
+        return pd.Series((shared.value[x >> np.uint64(6)] >> (x & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+    return lambda *columns: held(F.xxhash64(*columns))
+
+
 def digest_part(*keys: Column, seed: int = 7) -> Column:
     """From 0 to below 1 by the keys alone, the same on every run and at every partitioning."""
     return F.pmod(F.xxhash64(F.lit(seed), *[k.cast("string") for k in keys]), F.lit(1 << 30)).cast("double") / float(1 << 30)

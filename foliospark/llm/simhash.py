@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, load, materialise, over_arrow, raw_texts
+from .common import give_back, load, materialise, over_arrow, raw_texts, sieve
 from .components import components
 
 SEED = 42
@@ -457,6 +457,7 @@ def confirmed(docs: DataFrame, table: DataFrame, proposed: DataFrame, s: Setting
     # `least` is the smallest id of a node's texts; those without any id are looked for among all texts without id
     ids = members.select(F.col("least").alias("id")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("of_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.where(sieve(ids, "id")(F.col("of_id")))  # so few texts are shuffled where the ids are too many to broadcast
     sets = over_arrow(texts.join(ids, F.col("of_id").eqNullSafe(F.col("id")), "left_semi").select("text"), "key binary, shingles binary", make)
     sets = sets.groupBy("key").agg(F.first("shingles").alias("shingles"))
     held = placed.withColumn("of_key", F.substring("fp", 8 * s.words + 1, _DIGEST + _SIZE)).join(sets, F.col("of_key") == F.col("key"))
@@ -512,7 +513,10 @@ def drop_near_duplicates(docs: DataFrame, s: Setting = NEAR) -> DataFrame:
     told = materialise(told.where("rows > 1 or not stays").select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), "stays"), "told", small=True)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5(F.col("text").cast("string"))).alias("digest"))
     same = F.col("id").eqNullSafe(F.col("of_id")) & F.col("digest").eqNullSafe(F.col("of_digest"))
-    left = own.join(told, same, "left_anti").select("row.*")
+    # rows that the sieve clears stay where they are; only the others are shuffled
+    held = sieve(told, "of_id", "of_digest")(F.col("id"), F.col("digest"))
+    own, cleared = own.where(held), own.where(~held)
+    left = cleared.select("row.*").unionByName(own.join(told, same, "left_anti").select("row.*"))
     again = told.where("stays")
     if again.isEmpty():
         return left

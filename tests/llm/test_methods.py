@@ -138,6 +138,39 @@ def test_trie_join(spread):
     assert np.array_equal(found, told.parent)
 
 
+def test_near_duplicates_shuffle_few_texts(spark, tmp_path, monkeypatch):
+    """Nothing is broadcast, as with many documents: texts that are no near copies stay where they are, and the result is the same for a sieve that holds every row."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.bytes(6).hex() for _ in range(1500)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[i] + " and more") for i in range(6)] + [(1, texts[1]), (None, texts[2]), (None, "alone"), (2000, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    local = [d.toString() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f: f.stat().st_size for d in local for f in Path(d).rglob("shuffle_*.data")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = simhash.drop_near_duplicates(docs)
+        before = files()
+        found = sorted(map(str, left.collect()))
+        moved = sum(n for f, n in files().items() if f not in before)
+        monkeypatch.setattr("foliospark.llm.common.MOST_SIEVE_BITS", 1)
+        assert sorted(map(str, simhash.drop_near_duplicates(docs).collect())) == found
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(found) == 202 and moved < 0.25 * sum(len(t) for t in texts) / 2  # hexadecimal texts take half their length at least
+
+
+def test_sieve(spark):
+    from foliospark.llm.common import sieve
+
+    rows = spark.range(20_000).select(F.when(F.col("id") != 7, F.col("id")).alias("id"), F.unhex(F.md5(F.col("id").cast("string"))).alias("digest"))
+    held = sieve(rows.where("id % 10 = 3 or id is null"), "id", "digest")(F.col("id"), F.col("digest"))
+    told = rows.withColumn("held", held).groupBy(F.expr("id % 10 = 3 or id is null").alias("due"), "held").count().collect()
+    n = {(r.due, r.held): r["count"] for r in told}
+    assert n[True, True] == 2001 and (True, False) not in n and n[False, True] < 0.1 * n[False, False]
+    assert rows.where(sieve(rows.limit(0), "id")(F.col("id"))).count() == 0
+
+
 def test_query_writes_shards(spark, tmp_path, monkeypatch):
     """The query and the last stage commit shards and return what stands in them."""
     import corpus_pipeline
