@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .pieces import by_pieces
+
 #: Directional marks and the byte order mark (fixed values).
 BIDI = r"[\x{200E}\x{200F}\x{202A}-\x{202E}\x{2066}-\x{2069}\x{061C}\x{FEFF}]"
 #: Unicode white space as Python has it (fixed values).
@@ -64,7 +66,7 @@ def arabic_forms(text: Column) -> Column:
     return F.when(total >= ARABIC_LEAST, count_of(text, ARABIC_FORMS) / total).otherwise(F.lit(0.0))
 
 
-@F.arrow_udf(StringType())
+@by_pieces(StringType())
 def nfkc(texts: pa.Array) -> pa.Array:
     """Compatibility composition: Spark has no such function, so texts that are not plain ASCII go through Arrow."""
     return pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
